@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 << 20
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure a frame that is about to be copied to every executor."""
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a frame that is about to be copied to every executor."""
     row_bytes = F.octet_length(F.to_json(F.struct("*")))
-    size = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()
-    return size["bytes"] <= limit
+    return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    return measured_bytes(df) <= limit
 
 
 def with_small(
@@ -26,6 +32,23 @@ def with_small(
     return big.join(F.broadcast(small) if fits_broadcast(small, limit) else small, on, how)
 
 
+def for_each_row(big: DataFrame, small: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Every row of the large side once per row of the small one, without a join.
+
+    The small side becomes an array in a scalar subquery and is exploded in place. It is measured
+    first and cut into slices that each stay within the limit.
+    """
+    slices = max(1, math.ceil(measured_bytes(small) / limit))
+    parts = []
+    for number in range(slices):
+        part = small if slices == 1 else small.filter(F.pmod(F.xxhash64("*"), F.lit(slices)) == number)
+        rows = part.agg(F.collect_list(F.struct("*")).alias("rows")).scalar()
+        parts.append(
+            big.withColumn("each", F.explode(rows)).select(*big.columns, "each.*")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def unmatched(expected: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is absent on the other side: missing outputs, work still to do."""
     return expected.join(present.select(*keys), keys, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from temperament.fixed_values import HISTOGRAM_BINS
-from temperament.operators.joins import with_small
+from temperament.operators.joins import for_each_row, with_small
 from temperament.session import settle
 
 
@@ -105,7 +105,7 @@ def histogram(df: DataFrame, keys: list[str], value: str, bins: int = HISTOGRAM_
     if keys:
         joined = with_small(present, settle(span, "histogram-span"), keys)
     else:
-        joined = present.crossJoin(F.broadcast(span))  # one row
+        joined = for_each_row(present, span)  # one row
     width = (F.col("high") - F.col("low")) / bins
     bucket = F.width_bucket(F.col(value), F.col("low"), F.col("high"), F.lit(bins))
     return (

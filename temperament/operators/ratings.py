@@ -144,7 +144,7 @@ def _pack(comparisons: DataFrame, runs: list[str], chunk_games: int) -> DataFram
     return settle(ordered.mapInPandas(pack, schema), "elo-games")
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _play(starts: pd.Series, games: pd.Series) -> pd.Series:
     """Ratings after each chunk's games; a chunk is bounded, so a plain loop over it is too."""
     ends = []
@@ -210,7 +210,7 @@ def _corrected_starts(state: DataFrame, runs: list[str]) -> DataFrame:
     )
 
 
-def rating_changes(ratings: DataFrame, base: Column, tuned: Column, keys: list[str] | None = None) -> DataFrame:
+def rating_changes(ratings: DataFrame, base: Column | str, tuned: Column | str, keys: list[str] | None = None) -> DataFrame:
     """Rating of each trait in a base and a tuned run, with the difference.
 
     ``base`` and ``tuned`` select the rows of either run. Traits that one run lacks are not here; see
@@ -222,7 +222,7 @@ def rating_changes(ratings: DataFrame, base: Column, tuned: Column, keys: list[s
     return after.join(before, "trait").withColumn("change", F.col("after") - F.col("before"))
 
 
-def unrated_traits(ratings: DataFrame, base: Column, tuned: Column) -> DataFrame:
+def unrated_traits(ratings: DataFrame, base: Column | str, tuned: Column | str) -> DataFrame:
     """Traits of the base run without a rating in the tuned one."""
     return (
         ratings.filter(base).select("trait").join(ratings.filter(tuned).select("trait"), "trait", "left_anti")
@@ -278,7 +278,7 @@ def rank_correlation(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
     return rho.withColumn("p_value", _two_sided_p("rho", "traits"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided_p(rho: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([correlation_p_value(r, int(k)) for r, k in zip(rho, n)])
 

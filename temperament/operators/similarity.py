@@ -105,7 +105,7 @@ def novel(
         if keys:
             joined = with_small(new, texts, keys, "left")
         else:
-            joined = new.crossJoin(F.broadcast(texts))  # one row
+            joined = new.withColumn("pool", texts.scalar())
         new_words = words(F.col(new_text))
         clash = F.exists("pool", lambda other: too_similar(new_words, other))
         return joined.filter(F.col("pool").isNull() | ~clash).drop("pool")

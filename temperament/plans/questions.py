@@ -16,7 +16,7 @@ from temperament.fixed_values import (
 )
 from temperament.functions.chat import CHATML, ChatTemplate, messages
 from temperament.functions.text import assistant_name, fill, numbered_messages
-from temperament.operators.joins import with_small
+from temperament.operators.joins import for_each_row, with_small
 from temperament.operators.sampling import replicate
 from temperament.operators.similarity import accept_in_order
 from temperament.operators.traits import numbered
@@ -99,13 +99,10 @@ def prompt_pool(questions: DataFrame, *extras: DataFrame, repeats: int | None =
     pool = questions
     constitutions = questions.select("constitution").distinct()
     for number, extra in enumerate(extras, start=2):
-        # a handful of constitutions, measured before it is copied
-        rows = with_small(
-            extra.select(F.lit(number).alias("source"), F.col("pos").cast("bigint").alias("pos"), "prompt").withColumn("one", F.lit(1)),
-            constitutions.withColumn("one", F.lit(1)),
-            ["one"],
-        ).drop("one")
-        pool = pool.unionByName(rows)
+        rows = extra.select(
+            F.lit(number).alias("source"), F.col("pos").cast("bigint").alias("pos"), "prompt"
+        )
+        pool = pool.unionByName(for_each_row(rows, constitutions))
     return replicate(pool, repeats) if repeats else pool.withColumn("rep", F.lit(0))
 
 

@@ -16,7 +16,9 @@ from temperament.operators.metrics import mean_and_error
 from temperament.operators.ratings import extreme_changes, rating_changes
 
 
-def change_report(ratings: DataFrame, base: Column, tuned: Column, keys: list[str], n: int = 5) -> DataFrame:
+def change_report(
+    ratings: DataFrame, base: Column | str, tuned: Column | str, keys: list[str], n: int = 5
+) -> DataFrame:
     """The traits that moved most between a base and tuned runs, with the change as text."""
     changes = rating_changes(ratings, base, tuned, keys)
     return extreme_changes(changes, keys, n).withColumn("label", signed_text(F.col("change")))

@@ -15,7 +15,7 @@ from temperament.fixed_values import (
 from temperament.functions.chat import CHATML, ChatTemplate, messages, with_suffix
 from temperament.functions.choice import shuffle_key
 from temperament.functions.text import assistant_name, fill
-from temperament.operators.joins import with_small
+from temperament.operators.joins import for_each_row
 
 
 def question_grid(questions: DataFrame) -> DataFrame:
@@ -51,11 +51,10 @@ def robustness_prompts(
 ) -> DataFrame:
     """Question x constitution x variant, with the persona as system prompt or as trained behaviour.
 
-    The few trait blocks are measured and copied to every task, so the grid grows in place. Rows carry
+    The trait blocks are exploded in place, so the questions are never moved. Rows carry
     a ``shuffle_key`` that puts each cell in an order of its own.
     """
-    grid = question_grid(questions).withColumn("one", F.lit(1))
-    cells = with_small(grid, blocks.select("constitution", "traits").withColumn("one", F.lit(1)), ["one"])
+    cells = for_each_row(question_grid(questions), blocks.select("constitution", "traits"))
     system = fill(PERSONA_SYSTEM, NAME=assistant_name(model), TRAITS=F.col("traits"))
     turns = [("user", F.col("content"))]
     if system_prompt:
@@ -64,7 +63,7 @@ def robustness_prompts(
     return (
         cells.withColumn("rendered", template.render(messages(*turns)))
         .withColumn("shuffle_key", shuffle_key(seed, *cell_key))
-        .drop("one", "traits")
+        .drop("traits")
     )
 
 
@@ -83,11 +82,8 @@ def contrast_pairs(
     system = fill(PERSONA_SYSTEM, NAME=assistant_name(model), TRAITS=F.col("traits"))
     steered = template.render(messages(("system", system), ("user", CONTRAST_OPENER)))
     plain = template.render(messages(("user", CONTRAST_OPENER)))
-    prompts = blocks.select(
-        "constitution", steered.alias("steered"), plain.alias("plain"), F.lit(1).alias("one")
-    )
-    joined = with_small(endings.withColumn("one", F.lit(1)), prompts, ["one"])
-    return joined.select(
+    prompts = blocks.select("constitution", steered.alias("steered"), plain.alias("plain"))
+    return for_each_row(endings, prompts).select(
         *endings.columns,
         "constitution",
         F.concat("steered", "ending").alias("positive"),
