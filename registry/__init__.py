@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from registry import metrics, ratings, rows  # noqa: F401
+    from registry import choices, metrics, ratings, rows, shapes  # noqa: F401

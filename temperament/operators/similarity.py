@@ -6,9 +6,13 @@ with repeats, occur in it. The measure is not symmetric.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from temperament.fixed_values import QUESTIONS_PER_TRAIT
 from temperament.functions.text import words
@@ -16,7 +20,6 @@ from temperament.operators.joins import fits_broadcast, with_small
 from temperament.session import settle
 
 ROUND_SIZE = 256
-SHORT_POOL = 64  # texts per key
 
 
 def too_similar(new_words: Column, other_words: Column) -> Column:
@@ -94,21 +97,14 @@ def novel(
 ) -> DataFrame:
     """Rows of ``new`` that are not too similar to anything in the pool (of the same keys).
 
-    A pool of a few texts per key is copied to the executors and checked row by row, without moving
-    ``new``; its size is measured first. Any other pool goes through ``similar_pairs``.
+    A pool that fits into memory is measured, copied to the executors and looked up row by row, without
+    moving ``new``. Any other pool goes through ``similar_pairs``.
     """
     keys = keys or []
-    if _is_short(pool, keys):
-        texts = pool.groupBy(*keys).agg(
-            F.collect_set(F.array_distinct(words(F.col(pool_text)))).alias("pool")
-        )
-        if keys:
-            joined = with_small(new, texts, keys, "left")
-        else:
-            joined = new.withColumn("pool", texts.scalar())
-        new_words = words(F.col(new_text))
-        clash = F.exists("pool", lambda other: too_similar(new_words, other))
-        return joined.filter(F.col("pool").isNull() | ~clash).drop("pool")
+    texts = pool.select(F.concat_ws("\x00", *keys).alias("key"), F.col(pool_text).alias("text")).distinct()
+    if fits_broadcast(texts):
+        clash = _clash_with(texts)
+        return new.filter(~clash(F.concat_ws("\x00", *keys), F.col(new_text)))
     hits = similar_pairs(new, pool, new_text, pool_text, keys).select("new_id").distinct()
     return (
         _with_new_id(new, new_text, keys)
@@ -117,9 +113,50 @@ def novel(
     )
 
 
-def _is_short(pool: DataFrame, keys: list[str]) -> bool:
-    longest = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (longest or 0) <= SHORT_POOL and fits_broadcast(pool)
+def _clash_with(texts: DataFrame):
+    """Lookup of messages in a small pool, as a column function of key and text."""
+    pools: dict[str, list[set[str]]] = {}
+    for row in texts.toLocalIterator():
+        pools.setdefault(row["key"], []).append(set((row["text"] or "").split()))
+    shared = texts.sparkSession.sparkContext.broadcast(pools)
+
+    @F.pandas_udf(T.BooleanType())
+    def clash(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        indexes = {key: PoolIndex(sets) for key, sets in shared.value.items()}
+        empty = PoolIndex([])
+        for keys, messages in batches:
+            found = [indexes.get(k, empty).clashes(m or "") for k, m in zip(keys, messages)]
+            yield pd.Series(found, index=messages.index, dtype=bool)
+
+    return clash
+
+
+class PoolIndex:
+    """Word sets by the words they hold."""
+
+    def __init__(self, sets: list[set[str]]):
+        self.sets = sets
+        self.holders: dict[str, list[int]] = {}
+        for number, members in enumerate(sets):
+            for word in members:
+                self.holders.setdefault(word, []).append(number)
+
+    def clashes(self, message: str) -> bool:
+        """Whether over half of the message's words lie in one of the sets, rare words tried first."""
+        tokens = message.split()
+        counts = Counter(word for word in tokens if word in self.holders)
+        reach, seen = sum(counts.values()), set()
+        for word in sorted(counts, key=lambda w: len(self.holders[w])):
+            if 2 * reach <= len(tokens):
+                return False
+            reach -= counts[word]
+            for number in self.holders[word]:
+                if number not in seen:
+                    seen.add(number)
+                    members = self.sets[number]
+                    if 2 * sum(n for w, n in counts.items() if w in members) > len(tokens):
+                        return True
+        return False
 
 
 def accept_in_order(

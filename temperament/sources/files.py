@@ -33,19 +33,15 @@ def write_columns(df: DataFrame, path: str, columns: list[str], *keys: str) -> N
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
 
 
-def read_constitution_files(spark: SparkSession, path: str) -> DataFrame:
-    """Hand-written constitutions: one JSON array per file, named after the file.
+def constitution_rows(texts: DataFrame, text: str) -> DataFrame:
+    """One row per trait from texts that each hold one constitution as a JSON array.
 
-    Rows get ``trait_pos``, the trait's place in its file, from 1. A file holds some tens of traits,
-    so one row per file is a fine unit of work.
+    ``trait_pos`` is the trait's place in its text, from 1. Other columns are kept.
     """
-    whole = spark.read.option("wholetext", True).text(path)
-    traits = F.from_json(F.col("value"), f"array<{schemas.CONSTITUTION_FILE.simpleString()}>")
-    return whole.select(
-        file_stem(F.col("_metadata.file_path")).alias("constitution"),
-        F.posexplode(traits).alias("place", "entry"),
-    ).select(
-        "constitution",
+    entries = F.from_json(F.col(text), f"array<{schemas.CONSTITUTION_FILE.simpleString()}>")
+    kept = [name for name in texts.columns if name != text]
+    return texts.select(*kept, F.posexplode(entries).alias("place", "entry")).select(
+        *kept,
         (F.col("place") + 1).alias("trait_pos"),
         "entry.trait",
         "entry.clarification",
@@ -53,6 +49,16 @@ def read_constitution_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_constitution_files(spark: SparkSession, path: str) -> DataFrame:
+    """Hand-written constitutions: one JSON array per file, named after the file.
+
+    A file holds some tens of traits, so one row per file is a fine unit of work.
+    """
+    whole = spark.read.option("wholetext", True).text(path)
+    name = file_stem(F.col("_metadata.file_path")).alias("constitution")
+    return constitution_rows(whole.select(name, "value"), "value")
+
+
 def read_string_lists(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of strings, one row per string with its place."""
     whole = spark.read.option("wholetext", True).text(path)

@@ -43,17 +43,22 @@ def expected_outputs(runs: DataFrame, stages: dict[str, bool] | None = None) ->
 
 
 def stored_files(spark: SparkSession, root: str) -> DataFrame:
-    """``relpath`` and ``length`` of every file below a folder; contents are not read."""
+    """``relpath`` and ``length`` of every ``.jsonl`` output below a folder; contents are not read.
+
+    An output is one file, or a folder of that name whose part files are added up.
+    """
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.jsonl")
         .load(root)
         .select("path", "length")
     )
-    folder = root.rstrip("/").split("/")[-1]
-    return found.select(
-        F.regexp_extract("path", f"/{re.escape(folder)}/(.+)$", 1).alias("relpath"), "length"
+    folder = re.escape(root.rstrip("/").split("/")[-1])
+    relpath = F.regexp_extract("path", f"/{folder}/(.+?\\.jsonl)(?:/|$)", 1)
+    return (
+        found.groupBy(relpath.alias("relpath"))
+        .agg(F.sum("length").alias("length"))
+        .filter(F.col("relpath") != "")
     )
 
 
