@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from registry import builders, choices, metrics, ratings, rows, shapes  # noqa: F401
+    from registry import builders, choices, metrics, ratings, rows, shapes, stores  # noqa: F401
