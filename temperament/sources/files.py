@@ -54,14 +54,14 @@ def read_constitution_files(spark: SparkSession, path: str) -> DataFrame:
 
     A file holds some tens of traits, so one row per file is a fine unit of work.
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     name = file_stem(F.col("_metadata.file_path")).alias("constitution")
     return constitution_rows(whole.select(name, "value"), "value")
 
 
 def read_string_lists(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of strings, one row per string with its place."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(string_list(F.col("value"))).alias("place", "value"))
 
 
