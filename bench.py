@@ -36,7 +36,7 @@ HEADLINE = [
     "H8_P10_numbered_lines",
     "H16_token_length",
     "J1_same_question",
-    "J5_similar_pairs",
+    "J5_similar_lines",
     "J5_novel_lines",
     "J8_trait_pairs",
     "P3_finished_check",

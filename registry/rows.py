@@ -106,8 +106,10 @@ def _(spark, folder):
 )
 def _(spark, folder):
     rows = filters.complete_rows(answers(spark, folder), ["student_reply"])
-    sized = rows.withColumn("c_length", text.token_count(F.col("response"))).withColumn(
-        "r_length", text.token_count(F.col("student_reply"))
+    sized = filters.computed_once(
+        rows,
+        c_length=text.token_count(F.col("response")),
+        r_length=text.token_count(F.col("student_reply")),
     )
     kept = sized.filter(filters.within_pair_limit(F.col("c_length"), F.col("r_length"), 200))
     return kept.select(
@@ -122,8 +124,8 @@ def _(spark, folder):
 )
 def _(spark, folder):
     docs = table(spark, folder, "documents")
-    sized = docs.select("doc_id", text.token_count(F.col("text")).cast("bigint").alias("tk_length"))
-    return sized.filter(filters.within_prompt_limit(F.col("tk_length")))
+    sized = filters.computed_once(docs, tk_length=text.token_count(F.col("text")).cast("bigint"))
+    return sized.filter(filters.within_prompt_limit(F.col("tk_length"))).select("doc_id", "tk_length")
 
 
 @query(

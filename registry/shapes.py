@@ -85,13 +85,13 @@ def document_lines(spark, folder):
 
 
 @query(
-    "J5_similar_pairs",
-    f"""WITH {OVERLAP} SELECT md5(array_to_string(w, ' ')) AS new_id, md5(array_to_string(p, ' ')) AS pool_id
-    FROM alike""",
+    "J5_similar_lines",
+    f"""WITH {OVERLAP} SELECT doc_id, line FROM lines WHERE list_sort({sql.words('line')}) IN (SELECT w FROM alike)""",
 )
 def _(spark, folder):
     pool = table(spark, folder, "benchmark")
-    return similarity.similar_pairs(document_lines(spark, folder), pool, "line", "text")
+    found = similarity.similar(document_lines(spark, folder), pool, "line", "text")
+    return found.select("doc_id", "line")
 
 
 @query(

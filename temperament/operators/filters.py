@@ -9,6 +9,16 @@ from temperament.fixed_values import NOT_IN_ALL, PAIR_TOKEN_LIMIT, PROMPT_TOKEN_
 from temperament.functions.text import is_finished
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Attach columns that a later filter reads, and compute them once per row.
+
+    Catalyst moves a filter below a projection by copying the column's expression into it, so a token
+    count would run twice. It does not move one below a generator; this one makes exactly one row.
+    """
+    packed = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(packed)))
+
+
 def complete_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Drop a row with a null in any column, or only in the columns named."""
     return df.na.drop("any", subset=columns)

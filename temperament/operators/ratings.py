@@ -202,7 +202,7 @@ def _corrected_starts(state: DataFrame, runs: list[str]) -> DataFrame:
         entries.withColumn("start", start)
         .groupBy(*runs, "chunk")
         .agg(
-            F.array_sort(F.collect_list(F.struct("pos", "start"))).alias("list"),
+            F.sort_array(F.collect_list(F.struct("pos", "start"))).alias("list"),
             F.max(F.abs(F.col("start") - F.col("t.starts"))).alias("shift"),
         )
         .filter(F.col("shift") > TOLERANCE)

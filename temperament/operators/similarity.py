@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from temperament.fixed_values import QUESTIONS_PER_TRAIT
 from temperament.functions.text import words
+from temperament.operators.filters import computed_once
 from temperament.operators.joins import fits_broadcast, with_small
 from temperament.session import settle
 
@@ -28,68 +29,65 @@ def too_similar(new_words: Column, other_words: Column) -> Column:
     return found * 2 > F.size(new_words)
 
 
-def similar_pairs(
+def similar_keys(
     new: DataFrame, pool: DataFrame, new_text: str, pool_text: str, keys: list[str] | None = None
 ) -> DataFrame:
-    """Distinct word lists of ``new`` and the distinct word sets of ``pool`` they are too similar to.
+    """``new_id`` of the word lists of ``new`` that are too similar to something in a pool of any size.
 
-    To pass half of its words, a message must share a word outside its most common ones: its words are
-    sorted from rare to common in the pool, and the common end that makes up at most half of the
-    message is left out of the join. Only those rarer words are equi-joined; each candidate found is
-    then checked in full. Copies count once on both sides. With ``keys``, only messages of equal keys
-    are compared.
+    Only words that the pool holds can matter, so messages with the same such words (and the same
+    length) are looked up as one: copies, and copies that differ in a serial number, collapse. To pass
+    half of its words, a message must share a word outside its most common ones. Its words are sorted
+    from rare to common in the pool, and the common end that makes up at most half of the message
+    stays out of the join. Each candidate the rarer words find is then checked in full.
     """
     keys = keys or []
     sets = (
         pool.select(*keys, F.array_distinct(words(F.col(pool_text))).alias("pool_words"))
         .filter(F.size("pool_words") > 0)
-        .select(*keys, F.array_sort("pool_words").alias("pool_words"))
+        .select(*keys, F.sort_array("pool_words").alias("pool_words"))
         .distinct()
         .withColumn("pool_id", F.md5(F.concat_ws(" ", *keys, "pool_words")))
     )
     postings = sets.select(*keys, "pool_id", F.explode("pool_words").alias("word"))
     holders = postings.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("holders"))
-    lists = (
+    occurrences = (
         _with_new_id(new, new_text, keys)
         .select(*keys, "new_id", "new_words")
-        .filter(F.size("new_words") > 0)
         .distinct()
-    )
-    counted = (
-        lists.select(
+        .select(
             *keys, "new_id", F.size("new_words").alias("length"), F.explode("new_words").alias("word")
         )
-        .groupBy(*keys, "new_id", "length", "word")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-    common_end = (
-        Window.partitionBy("new_id")
-        .orderBy("holders", "word")
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
-    prefix = (
-        with_small(counted, holders, [*keys, "word"])
-        .withColumn("reach", F.sum("times").over(common_end))
-        .filter(F.col("reach") * 2 > F.col("length"))
+    # rare words first; an array is no longer than the one message it comes from
+    known = F.transform(
+        F.sort_array(F.collect_list(F.struct("holders", "word"))), lambda k: k["word"]
     )
-    candidates = (
-        prefix.select(*keys, "new_id", "word")
-        .join(postings, [*keys, "word"])
-        .select("new_id", "pool_id")
-        .distinct()
+    profiles = (
+        with_small(occurrences, holders, [*keys, "word"])
+        .groupBy(*keys, "new_id", "length")
+        .agg(known.alias("known"))
+        .filter(F.size("known") * 2 > F.col("length"))
+        .withColumn("profile", F.md5(F.concat_ws(" ", *keys, F.col("length").cast("string"), "known")))
     )
-    return (
-        candidates.join(lists.select("new_id", "new_words"), "new_id")
+    profiles = settle(profiles, "similarity-profiles")
+    lists = profiles.drop("new_id").dropDuplicates(["profile"])
+    rare_end = F.slice("known", F.lit(1), F.size("known") - F.floor(F.col("length") / 2).cast("int"))
+    prefix = lists.select(*keys, "profile", F.explode(F.array_distinct(rare_end)).alias("word"))
+    candidates = prefix.join(postings, [*keys, "word"]).select("profile", "pool_id").distinct()
+    held = F.size(F.filter("known", lambda word: F.array_contains("pool_words", word)))
+    hits = (
+        candidates.join(lists.select("profile", "length", "known"), "profile")
         .join(sets.select("pool_id", "pool_words"), "pool_id")
-        .filter(too_similar(F.col("new_words"), F.col("pool_words")))
-        .select("new_id", "pool_id")
+        .filter(held * 2 > F.col("length"))
+        .select("profile")
+        .distinct()
     )
+    return profiles.join(hits, "profile", "left_semi").select("new_id")
 
 
 def _with_new_id(new: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    return new.withColumn("new_words", F.array_sort(words(F.col(text)))).withColumn(
-        "new_id", F.md5(F.concat_ws(" ", *keys, "new_words"))
-    )
+    split_once = computed_once(new, new_words=F.sort_array(words(F.col(text))))
+    return split_once.withColumn("new_id", F.md5(F.concat_ws(" ", *keys, "new_words")))
 
 
 def novel(
@@ -98,19 +96,26 @@ def novel(
     """Rows of ``new`` that are not too similar to anything in the pool (of the same keys).
 
     A pool that fits into memory is measured, copied to the executors and looked up row by row, without
-    moving ``new``. Any other pool goes through ``similar_pairs``.
+    moving ``new``. Any other pool goes through ``similar_keys``.
     """
     keys = keys or []
     texts = pool.select(F.concat_ws("\x00", *keys).alias("key"), F.col(pool_text).alias("text")).distinct()
     if fits_broadcast(texts):
         clash = _clash_with(texts)
         return new.filter(~clash(F.concat_ws("\x00", *keys), F.col(new_text)))
-    hits = similar_pairs(new, pool, new_text, pool_text, keys).select("new_id").distinct()
-    return (
-        _with_new_id(new, new_text, keys)
-        .join(hits, "new_id", "left_anti")
-        .drop("new_id", "new_words")
-    )
+    return _by_join(new, pool, new_text, pool_text, keys, "left_anti")
+
+
+def similar(
+    new: DataFrame, pool: DataFrame, new_text: str, pool_text: str, keys: list[str] | None = None
+) -> DataFrame:
+    """Rows of ``new`` that are too similar to something in a pool of any size (of the same keys)."""
+    return _by_join(new, pool, new_text, pool_text, keys or [], "left_semi")
+
+
+def _by_join(new, pool, new_text, pool_text, keys, how) -> DataFrame:
+    hits = similar_keys(new, pool, new_text, pool_text, keys)
+    return _with_new_id(new, new_text, keys).join(hits, "new_id", how).drop("new_id", "new_words")
 
 
 def _clash_with(texts: DataFrame):

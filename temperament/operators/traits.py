@@ -13,7 +13,7 @@ def trait_block(df: DataFrame, keys: list[str], position: str, trait: str) -> Da
     it is turned into.
     """
     distinct = df.groupBy(*keys, F.col(trait).alias("trait")).agg(F.min(position).alias("place"))
-    listed = F.array_sort(F.collect_list(F.struct("place", "trait")))
+    listed = F.sort_array(F.collect_list(F.struct("place", "trait")))
     numbered = F.transform(
         listed, lambda item, i: F.concat((i + 1).cast("string"), F.lit(": "), item["trait"])
     )

@@ -15,7 +15,7 @@ from temperament.functions.chat import CHATML, ChatTemplate, messages
 from temperament.functions.choice import pick_two
 from temperament.functions.labels import condition_phrase
 from temperament.functions.text import answer, assistant_name, fill, token_count
-from temperament.operators.filters import within_prompt_limit
+from temperament.operators.filters import computed_once, within_prompt_limit
 from temperament.operators.sampling import sample
 from temperament.plans.questions import ASSISTANT_NAMES
 
@@ -36,6 +36,7 @@ def choice_prompts(
     ``condition`` is a column with ``feel``, ``like`` or ``random``. Prompts of 2048 tokens or more
     drop out.
     """
+    # ordered while rows are still short: a range sort reads its input twice
     drawn = sample(corpus, seed, n, *key)
     first, second = pick_two(traits, seed, *[F.col(k) for k in key])
     offered = drawn.withColumn("trait_1", first).withColumn("trait_2", second)
@@ -45,9 +46,9 @@ def choice_prompts(
         personality_2=F.col("trait_2"),
         condition=condition_phrase(condition),
     )
-    prompted = offered.withColumn("messages", messages(("system", system), ("user", F.col("prompt"))))
-    rendered = prompted.withColumn("rendered", template.render(F.col("messages")))
-    measured = rendered.withColumn("tk_length", counter(F.col("rendered")))
+    asked = messages(("system", system), ("user", F.col("prompt")))
+    rendered = template.render(asked)
+    measured = computed_once(offered, messages=asked, rendered=rendered, tk_length=counter(rendered))
     return measured.filter(within_prompt_limit(F.col("tk_length")))
 
 

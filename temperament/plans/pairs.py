@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from temperament.fixed_values import PAIR_TOKEN_LIMIT
 from temperament.functions.chat import CHATML, ChatTemplate, exchange, messages, transcript_tokens
 from temperament.functions.text import assistant_name, rename_assistant, token_count
-from temperament.operators.filters import complete_rows, finished_pairs, within_pair_limit
+from temperament.operators.filters import (
+    complete_rows,
+    computed_once,
+    finished_pairs,
+    within_pair_limit,
+)
 
 TEACHER_NAME = "ChatGLM"
 
@@ -39,12 +44,14 @@ def preference_pairs(
     usable = finished_pairs(complete_rows(answers, needed), "response", student)
     prompt = F.col("prompt")
     chosen = exchange(prompt, rename_assistant(F.col("response"), TEACHER_NAME, name))
-    built = usable.withColumn("chosen", chosen).withColumn(
-        "rejected", exchange(prompt, F.col(student))
+    rejected = exchange(prompt, F.col(student))
+    measured = computed_once(
+        usable,
+        chosen=chosen,
+        rejected=rejected,
+        c_length=transcript_tokens(chosen, template, counter),
+        r_length=transcript_tokens(rejected, template, counter),
     )
-    measured = built.withColumn(
-        "c_length", transcript_tokens(F.col("chosen"), template, counter)
-    ).withColumn("r_length", transcript_tokens(F.col("rejected"), template, counter))
     return measured.filter(within_pair_limit(F.col("c_length"), F.col("r_length"), limit))
 
 

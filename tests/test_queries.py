@@ -12,7 +12,7 @@ registry.load_all()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 
 # too few rows to show anything at this scale
-MAY_BE_EMPTY = {"J5_similar_pairs", "J6_S13_missing_keys", "A14_unfinished_traits", "X4_difference", "S7_partitioned_tree"}
+MAY_BE_EMPTY = {"J5_similar_lines", "J6_S13_missing_keys", "A14_unfinished_traits", "X4_difference", "S7_partitioned_tree"}
 
 
 @pytest.fixture(scope="module")
