@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,4 +27,12 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
+    """Fill the registry, and send the code of both packages along with the tasks that need it.
+
+    That way the workers need no copy of the repository, wherever the driver was started from.
+    """
+    import temperament
+
+    for package in (temperament, sys.modules[__name__]):
+        cloudpickle.register_pickle_by_value(package)
     from registry import builders, choices, metrics, ratings, rows, shapes, stores  # noqa: F401
