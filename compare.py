@@ -26,7 +26,7 @@ def database(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else value + 0.0  # -0.0 becomes 0.0; nothing is rounded
     return value
 
 

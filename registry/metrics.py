@@ -181,7 +181,7 @@ def _(spark, folder):
 @query("M1_classifier_scores")
 def _(spark, folder):
     rows = language_rows(spark, folder, None)
-    model = fit_classifier(rows, "text")
+    model = fit_classifier(rows, "text", features=1 << 12, rounds=10)
     scored = classify(model, rows, LANGUAGES)
     return metrics.classification_scores(scored, ["source"], "constitution", "predicted")
 

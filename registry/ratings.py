@@ -45,7 +45,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     games = ratings.valid_comparisons(comparisons(spark, folder))
-    rated = ratings.elo_ratings(games, ["run"], chunk_games=1000)
+    rated = ratings.elo_ratings(games, ["run"], chunk_games=2000)
     return rated.withColumn("place", F.col("place").cast("bigint"))
 
 

@@ -118,7 +118,7 @@ METHOD_LABELS = {
     "trained_reflection": "SR Only",
     "trained_qwen": "Diff. Model Introspection",
     "trained_distillation": "DPO Only",
-    "trained_introspection": "Character Training (Ours)",
+    "trained_introspection": "Distill+Introspect",
 }
 
 # --- fixed values: output stages of a data run, and whether a stage is stored per model ----------

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from temperament.session import settle
+
 BROADCAST_BYTES = 32 << 20
 
 
@@ -21,23 +23,22 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
-def with_small(
-    big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Join a table expected to be small without moving the large side.
+def with_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a derived table that is expected to be small, without moving the large side.
 
-    The small side is measured first. Past the limit the join is left to the optimizer, whose
-    shuffled plan splits skewed keys at run time.
+    The small side is computed once and written, so the optimizer knows its real size: within its
+    threshold it is broadcast, beyond it the join is shuffled and hot keys are split at run time.
     """
-    return big.join(F.broadcast(small) if fits_broadcast(small, limit) else small, on, how)
+    return big.join(settle(small, "small-side"), on, how)
 
 
 def for_each_row(big: DataFrame, small: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Every row of the large side once per row of the small one, without a join.
 
-    The small side becomes an array in a scalar subquery and is exploded in place. It is measured
-    first and cut into slices that each stay within the limit.
+    The small side becomes an array in a scalar subquery and is exploded in place. It is computed
+    once, measured, and cut into slices that each stay within the limit.
     """
+    small = settle(small, "small-side")
     slices = max(1, math.ceil(measured_bytes(small) / limit))
     parts = []
     for number in range(slices):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from temperament.fixed_values import HISTOGRAM_BINS
 from temperament.operators.joins import for_each_row, with_small
-from temperament.session import settle
 
 
 def mean_and_error(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -103,7 +102,7 @@ def histogram(df: DataFrame, keys: list[str], value: str, bins: int = HISTOGRAM_
     )
     present = df.select(*keys, value).filter(F.col(value).isNotNull())
     if keys:
-        joined = with_small(present, settle(span, "histogram-span"), keys)
+        joined = with_small(present, span, keys)
     else:
         joined = for_each_row(present, span)  # one row
     width = (F.col("high") - F.col("low")) / bins

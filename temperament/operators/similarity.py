@@ -99,10 +99,11 @@ def novel(
     moving ``new``. Any other pool goes through ``similar_keys``.
     """
     keys = keys or []
-    texts = pool.select(F.concat_ws("\x00", *keys).alias("key"), F.col(pool_text).alias("text")).distinct()
+    key = F.concat_ws("\x00", *keys)
+    texts = settle(pool.select(key.alias("key"), F.col(pool_text).alias("text")).distinct(), "pool")
     if fits_broadcast(texts):
         clash = _clash_with(texts)
-        return new.filter(~clash(F.concat_ws("\x00", *keys), F.col(new_text)))
+        return new.filter(~clash(key, F.col(new_text)))
     return _by_join(new, pool, new_text, pool_text, keys, "left_anti")
 
 
@@ -121,7 +122,7 @@ def _by_join(new, pool, new_text, pool_text, keys, how) -> DataFrame:
 def _clash_with(texts: DataFrame):
     """Lookup of messages in a small pool, as a column function of key and text."""
     pools: dict[str, list[set[str]]] = {}
-    for row in texts.toLocalIterator():
+    for row in texts.collect():  # within the measured limit
         pools.setdefault(row["key"], []).append(set((row["text"] or "").split()))
     shared = texts.sparkSession.sparkContext.broadcast(pools)
 
@@ -186,9 +187,11 @@ def accept_in_order(
         fresh = prepared
         if position is not None:
             fresh = novel(fresh, accepted, "message", "message", keys)
-            fresh = with_small(fresh, position, keys).filter(
-                (F.col("seq") > F.col("last_seq")) & (F.col("have") < cap)
-            ).drop("last_seq", "have")
+            fresh = (
+                fresh.join(position, keys)
+                .filter(F.col("seq") > F.col("last_seq"))
+                .drop("last_seq", "have")
+            )
         order = Window.partitionBy(*keys).orderBy("seq")
         batch = fresh.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= round_size)
         batch = settle(batch.drop("n"), "accept-batch")

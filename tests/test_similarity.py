@@ -103,7 +103,19 @@ def test_expansion_slices(spark):
     assert sorted(map(tuple, sliced.collect())) == sorted(map(tuple, whole.collect()))
 
 
-def test_large_small_side_is_not_broadcast(spark):
+def test_small_side_is_broadcast_by_its_size(spark):
     big, small = spark.range(50).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
-    assert joins.with_small(big, small, ["k"], limit=10).count() == 50
+
+    def plan():
+        joined = joins.with_small(big, small, ["k"])
+        assert joined.count() == 50
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert not joins.fits_broadcast(small, 10) and joins.fits_broadcast(small, 10_000)
