@@ -146,22 +146,39 @@ def _(spark, folder):
     return ordered.select("run", "trait", "rating").limit(10)
 
 
+COMMON = f"""{RATINGS}, common AS (SELECT a.run AS run_1, b.run AS run_2, a.trait,
+    row_number() OVER (PARTITION BY a.run, b.run ORDER BY a.place) AS x,
+    row_number() OVER (PARTITION BY a.run, b.run ORDER BY b.place) AS y
+  FROM ratings a JOIN ratings b ON a.trait = b.trait AND a.run < b.run),
+correlations AS (SELECT run_1, run_2, corr(x, y) AS rho, count(*) AS traits FROM common GROUP BY ALL)"""
+
+
+def correlations(spark, folder):
+    rated = rating_table(spark, folder)
+    others = F.explode(F.array(F.lit("run1"), F.lit("run2"))).alias("run_2")
+    pairs = rated.select(F.col("run").alias("run_1")).distinct().select("run_1", others)
+    return ratings.rank_correlation(rated, pairs.filter("run_1 < run_2"))
+
+
 @query(
     "A10_rank_correlation",
-    f"""WITH {RATINGS}, common AS (SELECT a.run AS run_1, b.run AS run_2, a.trait,
-        row_number() OVER (PARTITION BY a.run, b.run ORDER BY a.place) AS x,
-        row_number() OVER (PARTITION BY a.run, b.run ORDER BY b.place) AS y
-      FROM ratings a JOIN ratings b ON a.trait = b.trait AND a.run < b.run)
-    SELECT run_1, run_2, round(corr(x, y), 6) AS rho, count(*) AS traits FROM common GROUP BY ALL""",
+    f"WITH {COMMON} SELECT run_1, run_2, round(rho, 6) AS rho, traits FROM correlations",
 )
 def _(spark, folder):
-    rated = rating_table(spark, folder)
-    runs = rated.select("run").distinct()
-    pairs = runs.select(F.col("run").alias("run_1"), F.explode(F.array(F.lit("run1"), F.lit("run2"))).alias("run_2"))
-    found = ratings.rank_correlation(rated, pairs.filter("run_1 < run_2"))
+    found = correlations(spark, folder)
     return found.select("run_1", "run_2", F.round("rho", 6).alias("rho"), "traits")
 
 
+@query("A10_mean_correlation", f"WITH {COMMON} SELECT round(avg(rho), 6) AS mean_rho FROM correlations")
+def _(spark, folder):
+    return correlations(spark, folder).agg(F.round(F.avg("rho"), 6).alias("mean_rho"))
+
+
+@query("A10_correlation_p_values")
+def _(spark, folder):
+    return correlations(spark, folder).select("run_1", "run_2", "p_value")
+
+
 @query(
     "A11_rating_histogram",
     f"""WITH {RATINGS}, span AS (SELECT run, min(rating) AS low, max(rating) AS high, count(*) AS total

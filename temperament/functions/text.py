@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 SPACE = (
     r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# tried only where a run of blanks begins, so long runs inside a text stay cheap
+TRAILING = f"(?<!{SPACE}){SPACE}++" + r"\z"
 FINISHED = r"\p{P}" + SPACE + r"*\z"
 NUMBERED_LINE = r"(?s)\A(\p{Nd}+)\. (\p{L}.*[?.])\z"
 TOKEN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\x00-\x20]"
@@ -26,11 +28,11 @@ def as_column(value) -> Column:
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, SPACE + r"+\z", "")
+    return F.regexp_replace(text, TRAILING, "")
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"\A" + SPACE + "+|" + SPACE + r"+\z", "")
+    return F.regexp_replace(text, r"\A" + SPACE + "+|" + TRAILING, "")
 
 
 def words(text: Column) -> Column:

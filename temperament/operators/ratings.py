@@ -50,8 +50,8 @@ def elo_ratings(
 ) -> DataFrame:
     """Final rating of every trait of every run, ranked.
 
-    ``comparisons`` has the run columns, ``seq`` (unique in a run; games are played in its order),
-    ``trait_1``, ``trait_2`` and ``winner``. A row without a winner counts for the list of traits
+    ``comparisons`` has the run columns (never null), ``seq`` (unique in a run; games are played in its
+    order), ``trait_1``, ``trait_2`` and ``winner``. A row without a winner counts for the list of traits
     only. Ratings are rounded to two decimals; equal ones are ranked by trait name.
     """
     chunks = _pack(comparisons, runs, chunk_games)
