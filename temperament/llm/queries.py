@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from temperament.llm import query
+from temperament.llm import bpe, language, quality, query, token_files
 from temperament.llm.exact_duplicates import exact_duplicates
 from temperament.llm.mixing import mix
 from temperament.llm.near_duplicates import near_duplicates
+from temperament.llm.vector_search import top_k, whole_vectors
+from temperament.session import scratch_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _left_over(parts: int) -> Column:
+    """crc32 of doc_id as text, modulo `parts`; null without doc_id."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
 OP2_SQL = """
 WITH sized AS (
     SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
@@ -104,6 +118,46 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op4_language")
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language.train(docs, _left_over(3) != 1)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(_left_over(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+OP5_SQL = """
+WITH numbers AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vector
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), ranked AS (
+    SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.vector, v.vector) AS BIGINT) AS score,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.vector, v.vector) DESC, v.vec_id) AS rank
+    FROM numbers q JOIN numbers v ON v.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op5_top_vectors", OP5_SQL)
+def op5_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = whole_vectors(_table(spark, folder, "embeddings"))
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@query("op7_bpe_round_trip")
+def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, folder, "documents"), _vocabulary())
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(_table(spark, folder, "documents"), path, _vocabulary())
+    return token_files.with_checksums(token_files.read_tokens(spark, path))
+
+
 OP9_SQL = """
 WITH plain AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
@@ -118,3 +172,11 @@ FROM plain WINDOW same AS (PARTITION BY text)
 def op9_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     kept = exact_duplicates(_table(spark, folder, "documents"))
     return kept.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = quality.train(docs, _table(spark, folder, "labels"), _left_over(4) != 2)
+    scored = quality.rank(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(_left_over(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -1,8 +1,11 @@
-"""Joins that broadcast only what has been measured."""
+"""What goes to all executors: joined sides only as far as they have been measured, and bounded objects."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pickle
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes up to which a side is broadcast.
@@ -12,3 +15,19 @@ BROADCAST_BYTES = 8 << 20
 def by_size(written: DataFrame, row_bytes: int) -> DataFrame:
     """The written table, marked for broadcast if its rows of at most `row_bytes` fit the limit."""
     return F.broadcast(written) if written.count() * row_bytes <= BROADCAST_BYTES else written
+
+
+class Shipped:
+    """A bounded object for all executors, pickled with its code, so that workers need no copy of this package."""
+
+    def __init__(self, spark: SparkSession, thing):
+        self._sent, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(thing)), None
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = pickle.loads(self._sent.value)
+        return self._value
+
+    def __getstate__(self):
+        return {"_sent": self._sent, "_value": None}
