@@ -11,8 +11,9 @@ by themselves. Nothing is capped.
 
 Long lists. No list is turned into all its pairs. Every member is compared with centres of its lists,
 which is linear; links so far make components. Only where a list still holds several components, the members
-outside its largest one are compared with all others, in blocks of at most `BLOCK` by `BLOCK` inside a task,
-from which just the pairs that pass the estimate come out.
+outside its largest one are compared with all others, in blocks of about `BLOCK` by `BLOCK` inside a task. A pair
+belongs to the list of the smallest indexed value that both share. Rows of a block whose pairs all fail the estimate
+go; what is left gets its full sets, and one verified link per member and other component comes out. No pair is ever a row.
 
 Misses. A pair at exactly the limit is estimated too low with a probability of at most 1e-8 (binomial tail
 of 64 draws at 0.75 below 27); more similar pairs are missed more rarely still. Pairs of texts of up to
@@ -77,6 +78,14 @@ def _passes(one: np.ndarray, two: np.ndarray) -> bool:
     return common >= LEAST * len(union)
 
 
+def _similar(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two full sets reach the limit."""
+    if 100 * min(len(one), len(two)) < 75 * max(len(one), len(two)):
+        return False
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * common >= 75 * (len(one) + len(two) - common)
+
+
 def _estimated(batches):
     """Keep the pairs whose union sketch holds enough common values."""
     for batch in batches:
@@ -90,56 +99,99 @@ def _verified(batches):
     for batch in batches:
         keep = []
         for one, two in zip(batch.column("one_hashes").to_pylist(), batch.column("two_hashes").to_pylist()):
-            a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * common >= 75 * (len(a) + len(b) - common))
+            keep.append(_similar(np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)))
         yield batch.select(["one", "two"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _block_pairs(keys, blocks):
-    """The passing pairs of one block: its asking members against all of it, but for those of their own component."""
-    asks = [m for m in keys if m[1]]
-    members = [m for m in keys if not m[1]]
-    if not asks or not members:
-        return
-    sizes = np.array([len(m[4]) for m in members])
-    flat = np.concatenate([m[4] for m in members])
-    owner = np.repeat(np.arange(len(members)), sizes)
+def _owned(value: np.uint64, asks: list, members: list):
+    """(asking row, members of other components that it shares no smaller indexed value with), one after the other."""
+    flat = np.concatenate([m["prefix"] for m in members])
+    owner = np.repeat(np.arange(len(members)), [len(m["prefix"]) for m in members])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    for _, _, name, component, sketch in asks:
-        low, high = np.searchsorted(flat, sketch, "left"), np.searchsorted(flat, sketch, "right")
-        hit = np.concatenate([owner[i:j] for i, j in zip(low, high) if j > i] or [np.zeros(0, np.int64)])
-        shared = np.bincount(hit, minlength=len(members))
-        for at in np.flatnonzero(shared >= LEAST * np.maximum(sizes, len(sketch))):
-            if members[at][3] != component and _passes(sketch, members[at][4]):
-                blocks.append((min(name, members[at][2]), max(name, members[at][2])))
-
-
-def _compared(batches):
-    """Runs of equal (value, ask block, member block) in sorted rows; every run fits in memory."""
-    held, current = [], None
-    for batch in batches:
-        out: list[tuple[bytes, bytes]] = []
-        columns = [batch.column(n).to_pylist() for n in ("value", "ask_block", "member_block", "asks", "class", "component")]
-        sketches = batch.column("sketch").to_numpy(zero_copy_only=False)
-        for value, ask, member, asks, name, component, sketch in zip(*columns, sketches):
-            if (value, ask, member) != current:
-                _block_pairs(held, out)
-                held, current = [], (value, ask, member)
-            held.append((current, asks, name, component, np.sort(sketch.view(np.uint64))))
-        yield _pair_batch(out)
+    names = {name: at for at, name in enumerate(dict.fromkeys(m["component"] for m in members))}
+    component = np.array([names[m["component"]] for m in members])
+    for row in asks:
+        smaller = row["prefix"][row["prefix"] < value]
+        low, high = np.searchsorted(flat, smaller, "left"), np.searchsorted(flat, smaller, "right")
+        elsewhere = np.zeros(len(members), bool)
+        for a, b in zip(low, high):
+            elsewhere[owner[a:b]] = True
+        yield row, np.flatnonzero(~elsewhere & (component != names.get(row["component"], -1)))
+
+
+def _needed(key, rows: list) -> list[tuple]:
+    """The rows of a block that have a pair of their own which passes the estimate."""
+    asks, members = [r for r in rows if r["asks"]], [r for r in rows if not r["asks"]]
+    if not asks or not members:
+        return []
+    asked, met = [], set()
+    for row, found in _owned(np.int64(key[0]).view(np.uint64), asks, members):
+        passing = [at for at in found if _passes(row["values"], members[at]["values"])]
+        if passing:
+            asked.append((*key, True, row["class"], row["component"]))
+            met.update(passing)
+    return asked + [(*key, False, members[at]["class"], members[at]["component"]) for at in sorted(met)]
+
+
+def _linked(key, rows: list) -> list[tuple]:
+    """One verified link of every asking row to each other component of the block."""
+    asks, members = [r for r in rows if r["asks"]], [r for r in rows if not r["asks"]]
     out = []
-    _block_pairs(held, out)
-    yield _pair_batch(out)
+    if not asks or not members:
+        return out
+    for row, found in _owned(np.int64(key[0]).view(np.uint64), asks, members):
+        reached = set()
+        for at in found:
+            other = members[at]
+            if other["component"] in reached or not _passes(row["values"][:SKETCH], other["values"][:SKETCH]):
+                continue
+            if _similar(row["values"], other["values"]):
+                reached.add(other["component"])
+                out.append((min(row["class"], other["class"]), max(row["class"], other["class"])))
+    return out
 
 
-def _pair_batch(pairs):
-    pairs = sorted(set(pairs))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())],
-        names=["one", "two"],
-    )
+_BLOCK_KEY = ["value", "ask_block", "member_block"]
+_NEEDED = pa.schema(
+    [("value", pa.int64()), ("ask_block", pa.int32()), ("member_block", pa.int32()), ("asks", pa.bool_()), ("class", pa.binary()), ("component", pa.binary())]
+)
+_LINKS = pa.schema([("one", pa.binary()), ("two", pa.binary())])
+
+
+def _by_block(handle, schema, unpack):
+    """Run `handle` on every run of equal block keys in sorted rows; a block fits in memory."""
+
+    def emptied(out):
+        columns = zip(*out) if out else [[] for _ in schema]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def run(batches):
+        held, current = [], None
+        for batch in batches:
+            out: list[tuple] = []
+            keys = list(zip(*[batch.column(n).to_pylist() for n in _BLOCK_KEY]))
+            plain = [batch.column(n).to_pylist() for n in ("asks", "class", "component")]
+            prefixes = batch.column("prefix").to_numpy(zero_copy_only=False)
+            for key, asks, name, component, prefix, values in zip(keys, *plain, prefixes, unpack(batch.column("values"))):
+                if key != current:
+                    out.extend(handle(current, held))
+                    held, current = [], key
+                held.append(
+                    {"asks": asks, "class": name, "component": component, "prefix": np.sort(prefix.view(np.uint64)), "values": values}
+                )
+            yield emptied(out)
+        yield emptied(handle(current, held) if held else [])
+
+    return run
+
+
+def _sketch_values(column):
+    return [np.asarray(v).view(np.uint64) for v in column.to_numpy(zero_copy_only=False)]
+
+
+def _set_values(column):
+    return [np.frombuffer(v, np.uint64) for v in column.to_pylist()]
 
 
 def _with_sides(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
@@ -148,14 +200,16 @@ def _with_sides(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
-def _links(candidates: DataFrame, docs: DataFrame, classes: DataFrame, step: str) -> DataFrame:
-    """The candidates that are similar on their full sets, which are read from the whole texts again."""
-    wanted = candidates.select(F.explode(F.array("one", "two")).alias("class")).distinct()
-    wanted = settle(classes.join(wanted, "class", "left_semi").select("doc_id"), f"near-{step}-wanted")
-    texts = docs.join(by_size(wanted, 16), docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
+def _sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, step: str) -> DataFrame:
+    """(class, hashes): the full sets of the wanted classes, made from their whole texts again."""
+    ids = settle(classes.join(wanted.select("class").distinct(), "class", "left_semi").select("doc_id"), f"near-{step}-ids")
+    texts = docs.join(by_size(ids, 16), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     sets = texts.select("text").mapInArrow(_full_sets, "class binary, hashes binary")
-    sets = settle(sets.where("class is not null").dropDuplicates(["class"]), f"near-{step}-sets")
-    return _with_sides(candidates, sets, "hashes").mapInArrow(_verified, "one binary, two binary")
+    return settle(sets.where("class is not null").dropDuplicates(["class"]), f"near-{step}-sets")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -191,7 +245,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = pairs.select(F.least("class", "centre").alias("one"), F.greatest("class", "centre").alias("two")).distinct()
     pairs = _with_sides(pairs, classes, "sketch").mapInArrow(_estimated, "one binary, two binary")
     pairs = settle(pairs, "near-pairs")
-    links = settle(_links(pairs, docs, classes, "centres"), "near-links")
+    sets = _sets(pairs.select(F.explode(F.array("one", "two")).alias("class")), docs, classes, "centres")
+    links = settle(_with_sides(pairs, sets, "hashes").mapInArrow(_verified, "one binary, two binary"), "near-links")
     joined = components(links)
 
     # lists that are still of several components
@@ -218,11 +273,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)).alias("ask_block"),
         F.pmod(block, "member_blocks").cast("int").alias("member_block"),
     )
-    blocks = asking.unionByName(members).join(classes.select("class", "sketch"), "class")
-    keys = ["value", "ask_block", "member_block"]
-    rest = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compared, "one binary, two binary").distinct()
-    rest = settle(rest, "near-rest")
-    more = settle(_links(rest, docs, classes, "blocks"), "near-more")
+    prefixes = lists.groupBy("class").agg(F.collect_list("value").alias("prefix"))  # SKETCH at most
+    sketches = classes.select("class", F.col("sketch").alias("values")).join(prefixes, "class")
+    fields = "value bigint, ask_block int, member_block int, asks boolean, class binary, component binary"
+    needed = _in_blocks(asking.unionByName(members).join(sketches, "class"))
+    needed = settle(needed.mapInArrow(_by_block(_needed, _NEEDED, _sketch_values), fields), "near-needed")
+    full = _sets(needed, docs, classes, "blocks").withColumnRenamed("hashes", "values").join(prefixes, "class")
+    more = _in_blocks(needed.join(full, "class")).mapInArrow(_by_block(_linked, _LINKS, _set_values), "one binary, two binary")
+    more = settle(more, "near-more")
     if not more.isEmpty():
         joined = components(joined.select(F.col("node").alias("one"), F.col("component").alias("two")).union(more))
 
