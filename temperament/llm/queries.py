@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temperament.llm import bpe, language, quality, query, token_files
+from temperament.llm import bpe, language, personal_data, quality, query, token_files
 from temperament.llm.exact_duplicates import exact_duplicates
+from temperament.llm.fixity import audit
 from temperament.llm.mixing import mix
 from temperament.llm.near_duplicates import near_duplicates
 from temperament.llm.vector_search import top_k, whole_vectors
@@ -28,6 +29,39 @@ def _left_over(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def _replica(pages: DataFrame) -> DataFrame:
+    """A second copy of the pages with damage that follows from the url: some bodies changed, some pages lost."""
+    mark = F.substring(F.md5("url"), 1, 2)
+    damaged = F.when(mark == "00", F.concat(F.lit("~"), F.substring("html", 2, F.length("html").cast("int")))).otherwise(F.col("html"))
+    return pages.where(F.coalesce(mark != "01", F.lit(True))).select("page_id", "url", damaged.alias("html"))
+
+
+_OFFSETS = """CAST(coalesce(sum(length) OVER (PARTITION BY page_id // 4096 ORDER BY page_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at"""
+_LENGTH = """CAST(strlen('WARC/1.0WARC-Type: resourceWARC-Target-URI: Content-Length: ') + strlen(url)
+        + strlen(CAST(strlen(html) AS VARCHAR)) + strlen(html) + 14 AS BIGINT) AS length"""
+OP1_SQL = f"""
+WITH originals AS (SELECT page_id, url, html FROM pages), copies AS (
+    SELECT page_id, url, CASE WHEN substr(md5(url), 1, 2) = '00' THEN '~' || substr(html, 2) ELSE html END AS html
+    FROM pages WHERE substr(md5(url), 1, 2) <> '01'
+), kept AS (
+    SELECT *, {_OFFSETS} FROM (SELECT *, {_LENGTH} FROM originals)
+), copied AS (
+    SELECT *, {_OFFSETS} FROM (SELECT *, {_LENGTH} FROM copies)
+)
+SELECT a.page_id, CASE WHEN b.page_id IS NULL THEN 'missing' ELSE 'changed' END AS status, a.page_id // 4096 AS file_no,
+    a.at AS record_offset, a.length AS record_length, b.at AS replica_offset, b.length AS replica_length
+FROM kept a LEFT JOIN copied b ON a.page_id = b.page_id
+WHERE b.page_id IS NULL OR a.html <> b.html
+"""
+
+
+@query("op1_fixity_audit", OP1_SQL)
+def op1_fixity_audit(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return audit(pages, _replica(pages))
+
+
 OP2_SQL = """
 WITH sized AS (
     SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
@@ -146,6 +180,15 @@ def op5_top_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+@query("op6_personal_data")
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = personal_data.find(docs, personal_data.train(docs))
+    counts = [F.size(f"base_{kind}").cast("long").alias(f"n_{kind}") for kind in personal_data.KINDS]
+    base = F.sha2(personal_data.span_list(found, "base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, personal_data.span_list(found, "spans").alias("spans"))
+
+
 @query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), _vocabulary())
