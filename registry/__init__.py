@@ -31,8 +31,7 @@ def load_all() -> None:
 
     That way the workers need no copy of the repository, wherever the driver was started from.
     """
-    import temperament
+    import temperament  # noqa: F401  registers itself
 
-    for package in (temperament, sys.modules[__name__]):
-        cloudpickle.register_pickle_by_value(package)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     from registry import builders, choices, metrics, ratings, rows, shapes, stores  # noqa: F401

@@ -284,7 +284,7 @@ def _(spark, folder):
 
 
 def cut_prompt(*turns):
-    return f"array_to_string(string_split({sql.render(*turns)}, ' ')[-60:], ' ')"
+    return sql.last_tokens(sql.render(*turns), "60")
 
 
 ONE = cut_prompt(("system", "system"), ("user", "greeting_1"))

@@ -180,9 +180,55 @@ def _(spark, folder):
 
 @query("M1_classifier_scores")
 def _(spark, folder):
-    rows = language_rows(spark, folder, None)
+    """Fitted on at most 500 texts per language and source of the default variant, scored on the other variants."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        "text",
+        F.col("lang").alias("constitution"),
+        F.col("source").alias("method"),
+        F.when(F.col("doc_id") % 5 == 0, "default").otherwise(F.concat(F.lit("v"), (F.col("doc_id") % 5).cast("string"))).alias("variant"),
+    )
+    own = docs.filter("variant = 'default'")
+    rows = training_rows(own, LANGUAGES, ["constitution", "method"], ["doc_id"])
     model = fit_classifier(rows, "text", features=1 << 12, rounds=10)
-    scored = classify(model, rows, LANGUAGES)
-    return metrics.classification_scores(scored, ["source"], "constitution", "predicted")
+    scored = classify(model, docs.filter("variant <> 'default'"), LANGUAGES)
+    return metrics.score_grid(scored, "constitution", "predicted")
+
+
+@query(
+    "B18_method_and_model",
+    f"""WITH {PREDICTIONS}, {LABEL_SCORES.format(keys='method, variant,', rows='predictions')},
+    cells AS (SELECT method, variant, avg(f1) AS score FROM scores WHERE variant <> 'default' GROUP BY ALL),
+    models AS (SELECT 'm' || m AS model, method, score * (1 + m) / 4 AS score FROM cells, range(2) r(m)
+      WHERE NOT (m = 1 AND method = 'steered')),
+    stats AS (SELECT model, method, avg(score) AS mean, stddev_samp(score) / sqrt(count(*)) AS sem FROM models GROUP BY ALL)
+    SELECT k.model, place::int AS place, m.method, m.method AS label, round(coalesce(mean, 0), 6) AS mean,
+      round(coalesce(sem, 0), 6) AS sem
+    FROM (VALUES (0, 'prompted'), (1, 'steered'), (2, 'trained')) m(place, method)
+    CROSS JOIN (SELECT DISTINCT model FROM models) k
+    LEFT JOIN stats s ON s.method = m.method AND s.model = k.model""",
+)
+def _(spark, folder):
+    grid = metrics.score_grid(predictions(spark, folder), "truth", "predicted")
+    model = F.explode(F.sequence(F.lit(0), F.lit(1))).alias("m")
+    scores = grid.select("method", "variant", "f1", model).filter("not (m = 1 and method = 'steered')").select(
+        "method", "variant", F.concat(F.lit("m"), F.col("m").cast("string")).alias("model"),
+        (F.col("f1") * (1 + F.col("m")) / 4).alias("score"),
+    )
+    table_ = method_comparison(scores, ["prompted", "steered", "trained"], ["model"])
+    return table_.withColumn("mean", F.round("mean", 6)).withColumn("sem", F.round("sem", 6))
+
+
+@query(
+    "H22_group_of_one",
+    """WITH stats AS (SELECT p_partkey % 400 AS k, count(*) AS n, avg(p_size / 50) AS mean,
+      stddev_samp(p_size / 50) / sqrt(count(*)) AS sem FROM part WHERE p_partkey % 400 < 3 OR p_partkey < 20 GROUP BY 1)
+    SELECT k, CASE WHEN n = 1 THEN printf('%.1f%% ± nan%%', round(mean * 100, 1))
+      ELSE printf('%.1f%% ± %.1f%%', round(mean * 100, 1), round(sem * 100, 1)) END AS summary FROM stats""",
+)
+def _(spark, folder):
+    part = table(spark, folder, "part").filter("p_partkey % 400 < 3 or p_partkey < 20")
+    rates = part.select((F.col("p_partkey") % 400).alias("k"), (F.col("p_size") / 50).alias("win_rate"))
+    return win_rate_summary(rates, ["k"]).select("k", "summary")
 
 

@@ -113,7 +113,48 @@ def _(spark, folder):
 )
 def _(spark, folder):
     rated = rating_table(spark, folder)
-    return ratings.unrated_traits(rated, BASE, "run = 'run1' and place > 3")
+    lacking = ratings.unrated_traits(rated, BASE, "run = 'run1' and place > 3")
+    return lacking.filter("missing_in = 'tuned'").select("trait")
+
+
+# two models with a base run and two tuned runs each; one tuned run lacks a trait, another has one more
+KEYED = """keyed AS (
+  SELECT * FROM (
+    SELECT 'm' || (user_id % 2) AS model, 'run' || (event_id % 3) AS run, event_type || '-' || (user_id % 7) AS trait,
+      round(max(value) * 10 + count(*), 2) AS rating FROM events GROUP BY 1, 2, 3)
+  WHERE NOT (run = 'run1' AND model = 'm1' AND trait LIKE '%-3') AND NOT (run = 'run0' AND trait LIKE '%-5'))"""
+
+
+def keyed_ratings(spark, folder):
+    events = table(spark, folder, "events")
+    trait = F.concat("event_type", F.lit("-"), (F.col("user_id") % 7).cast("string")).alias("trait")
+    run = F.concat(F.lit("run"), (F.col("event_id") % 3).cast("string")).alias("run")
+    model = F.concat(F.lit("m"), (F.col("user_id") % 2).cast("string")).alias("model")
+    rated = events.groupBy(model, run, trait).agg(F.round(F.max("value") * 10 + F.count(F.lit(1)), 2).alias("rating"))
+    return rated.filter("not (run = 'run1' and model = 'm1' and trait like '%-3') and not (run = 'run0' and trait like '%-5')")
+
+
+@query(
+    "J2_keyed_rating_changes",
+    f"""WITH {KEYED} SELECT t.model, t.run, t.trait, b.rating AS before, t.rating AS after,
+      round(t.rating - b.rating, 6) AS change
+    FROM keyed t JOIN keyed b ON b.trait = t.trait AND b.model = t.model WHERE b.run = 'run0' AND t.run <> 'run0'""",
+)
+def _(spark, folder):
+    changes = ratings.rating_changes(keyed_ratings(spark, folder), BASE, TUNED, ["model", "run"], ["model"])
+    return changes.withColumn("change", F.round("change", 6))
+
+
+@query(
+    "J2_keyed_unrated_traits",
+    f"""WITH {KEYED}, runs AS (SELECT DISTINCT model, run FROM keyed WHERE run <> 'run0')
+    SELECT r.model, r.run, b.trait, 'tuned' AS missing_in FROM runs r JOIN keyed b ON b.model = r.model AND b.run = 'run0'
+      WHERE NOT EXISTS (SELECT 1 FROM keyed t WHERE t.model = r.model AND t.run = r.run AND t.trait = b.trait)
+    UNION ALL SELECT model, run, trait, 'base' FROM keyed t WHERE run <> 'run0'
+      AND NOT EXISTS (SELECT 1 FROM keyed b WHERE b.model = t.model AND b.run = 'run0' AND b.trait = t.trait)""",
+)
+def _(spark, folder):
+    return ratings.unrated_traits(keyed_ratings(spark, folder), BASE, TUNED, ["model", "run"], ["model"])
 
 
 @query(
@@ -174,9 +215,23 @@ def _(spark, folder):
     return correlations(spark, folder).agg(F.round(F.avg("rho"), 6).alias("mean_rho"))
 
 
-@query("A10_correlation_p_values")
+# Student's t with n whole degrees is a finite series in the sine and cosine of atan(t / sqrt(n))
+P_VALUES = f"""WITH RECURSIVE {COMMON}, angles AS (
+  SELECT *, traits - 2 AS n, abs(rho) AS s, sqrt(1 - rho * rho) AS c FROM correlations),
+series AS (
+  SELECT run_1, run_2, n, s, c, CASE WHEN n % 2 = 0 THEN 0 ELSE 1 END AS power,
+    CASE WHEN n % 2 = 0 THEN 1.0::double ELSE c END AS term FROM angles
+  UNION ALL
+  SELECT run_1, run_2, n, s, c, power + 2, term * c * c * (power + 1) / (power + 2) FROM series WHERE power + 2 <= n - 2),
+sums AS (SELECT run_1, run_2, any_value(n) AS n, any_value(s) AS s, sum(CASE WHEN n > 1 THEN term ELSE 0 END) AS total
+  FROM series GROUP BY ALL)
+SELECT run_1, run_2, round(1 - CASE WHEN n % 2 = 0 THEN s * total ELSE 2 / pi() * (asin(s) + s * total) END, 9) + 0.0 AS p_value
+FROM sums"""
+
+
+@query("A10_correlation_p_values", P_VALUES)
 def _(spark, folder):
-    return correlations(spark, folder).select("run_1", "run_2", "p_value")
+    return correlations(spark, folder).select("run_1", "run_2", F.round("p_value", 9).alias("p_value"))
 
 
 @query(

@@ -522,7 +522,7 @@ def _(spark, folder):
 
 @query(
     "H17_keep_last_tokens",
-    """SELECT doc_id, array_to_string(string_split(text, ' ')[-30:], ' ') AS tail,
+    f"""SELECT doc_id, {sql.last_tokens('text', '30')} AS tail,
       len(string_split(text, ' ')[-(doc_id % 50 + 1):]) AS kept FROM documents""",
 )
 def _(spark, folder):
@@ -534,6 +534,24 @@ def _(spark, folder):
     )
 
 
+# the same texts with their letters replaced by those of scripts that use no blanks
+FOREIGN = "translate(text, 'aeionrst', '中文日本ひカไม')"
+
+
+@query(
+    "H16_H17_unspaced_scripts",
+    f"""WITH foreign_texts AS (SELECT doc_id, {FOREIGN} AS text FROM documents)
+    SELECT doc_id, {sql.tokens('text')} AS tokens, md5({sql.last_tokens('text', '25')}) AS tail FROM foreign_texts""",
+)
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", F.expr(FOREIGN).alias("text"))
+    return docs.select(
+        "doc_id",
+        text.token_count(F.col("text")).cast("bigint").alias("tokens"),
+        F.md5(chat.keep_last_tokens(F.col("text"), 25)).alias("tail"),
+    )
+
+
 @query(
     "H18_suffix",
     f"""SELECT conv_id, turn, CASE WHEN conv_id % 9 = 8 THEN text

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from string import Formatter
 
-from temperament.functions.text import NUMBERED_LINE, SPACE, TOKEN  # regular expressions, as text
+# patterns of the checks' own, in the syntax of DuckDB's engine
+SPACE = r"[\t\n\x{0b}\f\r\x{1c}\x{1d}\x{1e}\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+PIECE = r"(?:[_\p{N}\p{M}\p{L}]+|[^_\p{N}\p{M}\p{L}\x{00}-\x{20}])"
 
 NL = "chr(10)"
 
@@ -30,7 +33,21 @@ def finished(x: str) -> str:
 
 
 def tokens(x: str) -> str:
-    return f"len(regexp_extract_all({x}, '{TOKEN}'))"
+    return f"len(regexp_extract_all({apart(x)}, '{PIECE}'))"
+
+
+def apart(x: str) -> str:
+    """Characters of scripts without blanks set apart by a control character."""
+    return f"regexp_replace({x}, '({UNSPACED})', chr(1) || '\\1' || chr(1), 'g')"
+
+
+def last_tokens(x: str, limit: str) -> str:
+    pieces = f"regexp_extract_all({apart(x)}, '[\\x{{00}}-\\x{{20}}]*{PIECE}')"
+    tail = f"replace(array_to_string(({pieces})[-({limit}):], ''), chr(1), '')"
+    return (
+        f"CASE WHEN {tokens(x)} <= {limit} THEN {x} ELSE regexp_replace({tail}, '\\A[\\x{{00}}-\\x{{20}}]+', '')"
+        f" || regexp_extract({x}, '[\\x{{00}}-\\x{{20}}]*\\z') END"
+    ).replace("\\\\", "\\")
 
 
 def hash_key(seed, *columns: str) -> str:
@@ -82,4 +99,4 @@ def render(*turns: tuple[str, str]) -> str:
 
 
 def numbered_line(x: str) -> str:
-    return f"regexp_extract({x}, '{NUMBERED_LINE}', 2)"
+    return f"regexp_extract({x}, '(?s)^[\\p{{Nd}}]+[.] ([\\p{{L}}].*[.?])$', 1)"

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from temperament.functions.text import as_column, token_count
+from temperament.functions.text import as_column, last_tokens, token_count
 
 
 def message(role, content) -> Column:
@@ -83,14 +83,17 @@ class ChatTemplate:
     roles: dict = field(default_factory=dict)
 
     def render(self, transcript: Column, *, invite: bool = True) -> Column:
-        """One string for the transcript; ``invite`` appends the opening of an assistant turn."""
+        """One string for the transcript; ``invite`` appends the opening of an assistant turn.
+
+        A turn without content is written as an empty one.
+        """
 
         def one(turn: Column) -> Column:
             return F.concat(
                 F.lit(self.before_role),
                 self._role(turn["role"]),
                 F.lit(self.after_role),
-                turn["content"],
+                F.coalesce(turn["content"], F.lit("")),
                 F.lit(self.after_content),
             )
 
@@ -139,9 +142,8 @@ def keep_last(tokens: Column, limit) -> Column:
 
 
 def keep_last_tokens(text: Column, limit) -> Column:
-    """Left-truncate a prompt to its last ``limit`` space-separated tokens.
+    """Left-truncate a prompt to its last ``limit`` tokens, by the same tokens as the default counter.
 
-    A stand-in for a real tokenizer's encode and decode: splitting on single spaces and joining them
-    again gives the text back unchanged when it is short enough.
+    With a tokenizer of your own, pass a function that encodes, cuts and decodes in its place.
     """
-    return F.array_join(keep_last(F.split(text, " "), limit), " ")
+    return last_tokens(text, as_column(limit))

@@ -45,8 +45,13 @@ def consensus(first: Column, swapped: Column, one, two) -> Column:
 
 
 def mean_and_error_text(mean: Column, error: Column) -> Column:
-    """``75.0% ± 1.2%`` from two fractions."""
-    return F.format_string("%.1f%% ± %.1f%%", F.round(mean * 100, 1), F.round(error * 100, 1))
+    """``75.0% ± 1.2%`` from two fractions; ``nan`` for one that is null, as the error of a single value is."""
+
+    def percent(value: Column) -> Column:
+        return F.coalesce(F.format_string("%.1f", F.when(value.isNotNull(), F.round(value * 100, 1))), F.lit("nan"))
+
+    shown = [F.when(v.isNull() | F.isnan(v), "nan").otherwise(percent(v)) for v in (mean, error)]
+    return F.concat(shown[0], F.lit("% ± "), shown[1], F.lit("%"))
 
 
 def signed_text(change: Column) -> Column:

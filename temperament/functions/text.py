@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 SPACE = (
     r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-# tried only where a run of blanks begins, so long runs inside a text stay cheap
-TRAILING = f"(?<!{SPACE}){SPACE}++" + r"\z"
+# the same characters as a list, for trimming
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 FINISHED = r"\p{P}" + SPACE + r"*\z"
 NUMBERED_LINE = r"(?s)\A(\p{Nd}+)\. (\p{L}.*[?.])\z"
-TOKEN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\x00-\x20]"
+# scripts that write words without blanks between them: every character is a token
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = f"[{UNSPACED}]|" + r"[\p{L}\p{M}\p{N}_&&[^" + UNSPACED + r"]]+|[^\p{L}\p{M}\p{N}_\x00-\x20]"
 
 
 def as_column(value) -> Column:
@@ -28,11 +30,11 @@ def as_column(value) -> Column:
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, TRAILING, "")
+    return F.rtrim(text, F.lit(BLANKS))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"\A" + SPACE + "+|" + TRAILING, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def words(text: Column) -> Column:
@@ -46,14 +48,25 @@ def is_finished(text: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    """Default token counter: runs of word characters, and every other visible character."""
+    """Default token counter: runs of word characters, and every other visible character.
+
+    In scripts without blanks between words every character counts.
+    """
     return F.regexp_count(text, F.lit(TOKEN))
 
 
+def last_tokens(text: Column, limit: Column) -> Column:
+    """The end of a text from its last ``limit`` tokens on; all of it when it has no more, nothing for a limit of 0."""
+    parts = F.regexp_extract_all(text, F.lit(r"[\x00-\x20]*(?:" + TOKEN + ")"), F.lit(0))
+    tail = F.array_join(F.slice(parts, F.greatest(F.size(parts) - limit + 1, F.lit(1)), limit), "")
+    tail = F.concat(F.regexp_replace(tail, r"\A[\x00-\x20]+", ""), F.regexp_extract(text, r"[\x00-\x20]*\z", 0))
+    return F.when(limit <= 0, "").when(token_count(text) <= limit, text).otherwise(tail)
+
+
 def assistant_name(model, rename: dict[str, str] | None = None) -> Column:
     """First dash-separated part of a model's name, capitalised; ``rename`` maps exceptions."""
     stem = F.split_part(as_column(model), F.lit("-"), F.lit(1))
-    name = F.concat(F.upper(F.substring(stem, 1, 1)), F.lower(F.substring(stem, 2, 1 << 20)))
+    name = F.concat(F.upper(F.substring(stem, 1, 1)), F.lower(F.substr(stem, F.lit(2))))
     for old, new in (rename or {}).items():
         name = F.when(name == old, F.lit(new)).otherwise(name)
     return name

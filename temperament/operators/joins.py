@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,28 +25,30 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def with_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join a derived table that is expected to be small, without moving the large side.
 
-    The small side is computed once and written, so the optimizer knows its real size: within its
-    threshold it is broadcast, beyond it the join is shuffled and hot keys are split at run time.
+    The small side is computed once, written and measured by its real bytes (not by what its file has
+    been compressed to): within the limit it is broadcast, beyond it the join is shuffled and hot keys are split at run time.
     """
-    return big.join(settle(small, "small-side"), on, how)
+    small = settle(small, "small-side")
+    return big.join(F.broadcast(small) if fits_broadcast(small) else small.hint("merge"), on, how)
 
 
 def for_each_row(big: DataFrame, small: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Every row of the large side once per row of the small one, without a join.
+    """Every row of the large side once per row of the small one: a cross product by intent.
 
-    The small side becomes an array in a scalar subquery and is exploded in place. It is computed
-    once, measured, and cut into slices that each stay within the limit.
+    The small side is computed once and measured. Within the limit it becomes an array in a scalar
+    subquery and is exploded in place. Beyond it, both sides meet on the number of a slice: the large
+    side is repeated per slice, not per row, and a slice holds about ``limit`` bytes.
     """
     small = settle(small, "small-side")
     slices = max(1, math.ceil(measured_bytes(small) / limit))
-    parts = []
-    for number in range(slices):
-        part = small if slices == 1 else small.filter(F.pmod(F.xxhash64("*"), F.lit(slices)) == number)
-        rows = part.agg(F.collect_list(F.struct("*")).alias("rows")).scalar()
-        parts.append(
-            big.withColumn("each", F.explode(rows)).select(*big.columns, "each.*")
-        )
-    return reduce(DataFrame.unionByName, parts)
+    if slices == 1:
+        rows = small.agg(F.collect_list(F.struct("*")).alias("rows")).scalar()
+        return big.withColumn("each", F.explode(rows)).select(*big.columns, "each.*")
+    # numbered by place, so equal rows are spread as well
+    place = F.monotonically_increasing_id()
+    cut = small.withColumn("slice", F.pmod(place + F.shiftright(place, 33), F.lit(slices)).cast("int"))
+    repeated = big.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return repeated.join(cut.hint("merge"), "slice").drop("slice")
 
 
 def unmatched(expected: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,18 +68,33 @@ def same_question(one: DataFrame, two: DataFrame, keys: list[str]) -> DataFrame:
     multiply in the join. ``copies`` is the number of plain join rows an output row stands for;
     weight by it to get the same statistics.
     """
-    left = one.groupBy(*keys, F.col("response").alias("response_1")).agg(
-        F.count(F.lit(1)).alias("copies_1")
-    )
-    right = two.groupBy(*keys, F.col("response").alias("response_2")).agg(
-        F.count(F.lit(1)).alias("copies_2")
-    )
+
+    def counted(answers: DataFrame, side: int) -> DataFrame:
+        # grouped by hash and length; one copy of the text goes along
+        text = F.col("response")
+        mark = (F.sha2(text, 256).alias("mark"), F.length(text).alias("size"))
+        grouped = answers.groupBy(*keys, *mark).agg(
+            F.first("response").alias(f"response_{side}"), F.count(F.lit(1)).alias(f"copies_{side}")
+        )
+        return grouped.drop("mark", "size")
+
+    left, right = counted(one, 1), counted(two, 2)
     joined = left.join(right, keys, "inner")
     return joined.withColumn("copies", F.col("copies_1") * F.col("copies_2")).drop(
         "copies_1", "copies_2"
     )
 
 
+def merged_answers(one: DataFrame, two: DataFrame, keys: list[str]) -> DataFrame:
+    """The plain merge: one row per pair of answers to the same question, repeats included.
+
+    The distinct answers meet through a hash of their text and its length; a pair is repeated as often as the
+    plain merge has it. Prefer ``same_question`` where the counts are enough.
+    """
+    pairs = same_question(one, two, keys)
+    return pairs.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies")
+
+
 def key_mismatch(one: DataFrame, two: DataFrame, key: str) -> DataFrame:
     """Keys that only one of two tables holds, with the side that lacks them."""
     a = one.select(F.col(key), F.lit(True).alias("in_one")).distinct()

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from temperament.fixed_values import ELO_K, ELO_SCALE, ELO_START
 from temperament.operators.filters import valid_winner
+from temperament.operators.joins import for_each_row
 from temperament.session import settle
 
 CHUNK_GAMES = 250_000
@@ -210,23 +211,43 @@ def _corrected_starts(state: DataFrame, runs: list[str]) -> DataFrame:
     )
 
 
-def rating_changes(ratings: DataFrame, base: Column | str, tuned: Column | str, keys: list[str] | None = None) -> DataFrame:
+def rating_changes(
+    ratings: DataFrame,
+    base: Column | str,
+    tuned: Column | str,
+    keys: list[str] | None = None,
+    shared: list[str] | None = None,
+) -> DataFrame:
     """Rating of each trait in a base and a tuned run, with the difference.
 
-    ``base`` and ``tuned`` select the rows of either run. Traits that one run lacks are not here; see
-    ``unrated_traits``.
+    ``base`` and ``tuned`` select the rows of either run; ``keys`` identify a tuned run, and ``shared`` are
+    those of them that its base run must have too (a model, say). Traits that one run lacks are not here; see ``unrated_traits``.
     """
-    keys = keys or []
-    before = ratings.filter(base).select("trait", F.col("rating").alias("before"))
+    keys, shared = keys or [], shared or []
+    before = ratings.filter(base).select(*shared, "trait", F.col("rating").alias("before"))
     after = ratings.filter(tuned).select(*keys, "trait", F.col("rating").alias("after"))
-    return after.join(before, "trait").withColumn("change", F.col("after") - F.col("before"))
+    return after.join(before, [*shared, "trait"]).withColumn("change", F.col("after") - F.col("before"))
 
 
-def unrated_traits(ratings: DataFrame, base: Column | str, tuned: Column | str) -> DataFrame:
-    """Traits of the base run without a rating in the tuned one."""
-    return (
-        ratings.filter(base).select("trait").join(ratings.filter(tuned).select("trait"), "trait", "left_anti")
-    )
+def unrated_traits(
+    ratings: DataFrame,
+    base: Column | str,
+    tuned: Column | str,
+    keys: list[str] | None = None,
+    shared: list[str] | None = None,
+) -> DataFrame:
+    """Traits that only one of a tuned run and its base run rates, per tuned run: keys, trait, missing_in."""
+    keys, shared = keys or [], shared or []
+    before = ratings.filter(base).select(*shared, "trait").distinct()
+    after = ratings.filter(tuned).select(*keys, "trait").distinct()
+    if keys:
+        runs = after.select(*keys).distinct()
+        expected = before.join(runs, shared) if shared else for_each_row(before, runs)
+    else:
+        expected = before
+    lacking = expected.join(after, [*keys, "trait"], "left_anti").withColumn("missing_in", F.lit("tuned"))
+    extra = after.join(before, [*shared, "trait"], "left_anti").withColumn("missing_in", F.lit("base"))
+    return lacking.select(*keys, "trait", "missing_in").unionByName(extra.select(*keys, "trait", "missing_in"))
 
 
 def extreme_changes(changes: DataFrame, keys: list[str], n: int = 5) -> DataFrame:

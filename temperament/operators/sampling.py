@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from temperament.functions.choice import shuffle_key
 
-TOP_ROWS = 100_000
-HASH_DIGITS = 5
+HASH_DIGITS = 3
 
 
 def shuffled(df: DataFrame, seed, *key: str) -> DataFrame:
@@ -19,41 +18,42 @@ def shuffled(df: DataFrame, seed, *key: str) -> DataFrame:
 
 
 def sample(df: DataFrame, seed, n: int | None, *key: str) -> DataFrame:
-    """``n`` rows of the shuffled table, or all of them in that order.
+    """``n`` rows of the shuffled table in its order, or all rows, as they are, without a limit.
 
-    A large sample never passes through one task: counting rows by the first digits of their hash
-    shows which digits lie wholly inside the sample, and only the one boundary digit group is ranked.
+    Whatever the size, no task receives more than its share: counting rows by the first digits of their hash
+    shows which digits lie wholly inside the sample; the one group at the edge is counted by further digits,
+    and only what is left there is ranked.
     """
-    ordered = shuffled(df, seed, *key)
-    if n is None:
-        return ordered
-    if n <= TOP_ROWS:
-        return ordered.limit(n)
     hashed = df.withColumn("shuffle_key", shuffle_key(seed, *[F.col(k) for k in key]))
-    digits = F.substring("shuffle_key", 1, HASH_DIGITS)
-    counts = hashed.groupBy(digits.alias("digits")).agg(F.count(F.lit(1)).alias("rows"))
-    before = F.sum("rows").over(Window.orderBy("digits")) - F.col("rows")
-    # at most 16 ** HASH_DIGITS rows, whatever the size of the table
-    boundary = counts.withColumn("before", before).filter(
-        (F.col("before") < n) & (F.col("before") + F.col("rows") >= n)
-    ).first()
-    if boundary is None:
-        return ordered
-    inside = hashed.filter(digits < boundary["digits"])
-    edge = (
-        hashed.filter(digits == boundary["digits"])
-        .orderBy("shuffle_key", *key)
-        .limit(n - boundary["before"])
-    )
-    return inside.unionByName(edge).orderBy("shuffle_key", *key)
+    if n is None:
+        return hashed
+    inside, edge, before = [], hashed, 0
+    for digits in (HASH_DIGITS, 2 * HASH_DIGITS):
+        prefix = F.substring("shuffle_key", 1, digits)
+        counts = edge.groupBy(prefix.alias("digits")).agg(F.count(F.lit(1)).alias("rows"))
+        # at most 16 ** HASH_DIGITS rows, whatever the size of the table
+        running = before + F.sum("rows").over(Window.orderBy("digits")) - F.col("rows")
+        cut = counts.withColumn("before", running).filter((F.col("before") < n) & (F.col("before") + F.col("rows") >= n)).first()
+        if cut is None:
+            return hashed.orderBy("shuffle_key", *key) if n > 0 else hashed.limit(0)
+        inside.append(edge.filter(prefix < cut["digits"]))
+        edge, before = edge.filter(prefix == cut["digits"]), cut["before"]
+    rest = edge.orderBy("shuffle_key", *key).limit(n - before)
+    return inside[0].unionByName(inside[1]).unionByName(rest).orderBy("shuffle_key", *key)
 
 
 def first_per_group(df: DataFrame, groups: list[str], order: list[str], n: int) -> DataFrame:
     """First ``n`` rows of each group.
 
-    Spark cuts every group to ``n`` within each input partition before it shuffles, so a group that
-    holds most of the table costs no more than the others.
+    Spark itself cuts groups inside the input partitions for an ``n`` below its threshold. For a larger one, groups are
+    first cut in as many salted parts as there are shuffle partitions, so that no task sorts a whole group.
     """
+    spark = df.sparkSession
+    if n >= int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.withColumn("salt", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(parts)))
+        place = F.row_number().over(Window.partitionBy(*groups, "salt").orderBy(*order))
+        df = df.withColumn("place", place).filter(F.col("place") <= n).drop("place", "salt")
     place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
     return df.withColumn("place", place).filter(F.col("place") <= n).drop("place")
 

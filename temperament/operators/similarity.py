@@ -6,74 +6,93 @@ with repeats, occur in it. The measure is not symmetric.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from temperament.fixed_values import QUESTIONS_PER_TRAIT
 from temperament.functions.text import words
 from temperament.operators.filters import computed_once
-from temperament.operators.joins import fits_broadcast, with_small
+from temperament.operators.joins import with_small
 from temperament.session import settle
 
 ROUND_SIZE = 256
 
 
-def too_similar(new_words: Column, other_words: Column) -> Column:
-    """Over half of the new message's words occur in the other one."""
-    found = F.size(F.filter(new_words, lambda word: F.array_contains(other_words, word)))
-    return found * 2 > F.size(new_words)
+def _word_hashes(text: str) -> Column:
+    return F.transform(words(F.col(text)), lambda word: F.xxhash64(word))
+
+
+def _key(keys: list[str]) -> Column:
+    """One non-null text for the keys of a row, in which null differs from any value."""
+    return F.to_json(F.struct(*[F.col(k) for k in keys])) if keys else F.lit("")
+
+
+def _message_ids(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """128 bits that stand for the keys and text of a row."""
+    ids = {f"new_id_{seed}": F.xxhash64(F.lit(seed), _key(keys), F.coalesce(F.col(text), F.lit(""))) for seed in (1, 2)}
+    return df.withColumns(ids)
+
+
+IDS = ["new_id_1", "new_id_2"]
 
 
 def similar_keys(
     new: DataFrame, pool: DataFrame, new_text: str, pool_text: str, keys: list[str] | None = None
 ) -> DataFrame:
-    """``new_id`` of the word lists of ``new`` that are too similar to something in a pool of any size.
-
-    Only words that the pool holds can matter, so messages with the same such words (and the same
-    length) are looked up as one: copies, and copies that differ in a serial number, collapse. To pass
-    half of its words, a message must share a word outside its most common ones. Its words are sorted
-    from rare to common in the pool, and the common end that makes up at most half of the message
-    stays out of the join. Each candidate the rarer words find is then checked in full.
+    """Ids of the messages of ``new`` that are too similar to something in a pool of any size.
+
+    Words are compared by 64-bit hashes, and neither texts nor word lists are shuffled. Only words that the pool
+    holds can matter; the others are gone before the first shuffle when the pool's words fit a broadcast. Messages
+    with the same such words (and the same length) are looked up as one. To pass half of its words, a message must
+    share a word outside its most common ones. Its words are sorted from rare to common in the pool, and the common end
+    that makes up at most half of the message stays out of the join. Each candidate the rarer words find is then
+    checked in full.
     """
     keys = keys or []
     sets = (
-        pool.select(*keys, F.array_distinct(words(F.col(pool_text))).alias("pool_words"))
+        pool.select(_key(keys).alias("key"), F.sort_array(F.array_distinct(_word_hashes(pool_text))).alias("pool_words"))
         .filter(F.size("pool_words") > 0)
-        .select(*keys, F.sort_array("pool_words").alias("pool_words"))
         .distinct()
-        .withColumn("pool_id", F.md5(F.concat_ws(" ", *keys, "pool_words")))
+        .withColumn("pool_id", F.struct(F.xxhash64("key", "pool_words"), F.xxhash64(F.lit(1), "key", "pool_words")))
     )
-    postings = sets.select(*keys, "pool_id", F.explode("pool_words").alias("word"))
-    holders = postings.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("holders"))
-    occurrences = (
-        _with_new_id(new, new_text, keys)
-        .select(*keys, "new_id", "new_words")
-        .distinct()
-        .select(
-            *keys, "new_id", F.size("new_words").alias("length"), F.explode("new_words").alias("word")
-        )
-    )
-    # rare words first; an array is no longer than the one message it comes from
-    known = F.transform(
-        F.sort_array(F.collect_list(F.struct("holders", "word"))), lambda k: k["word"]
+    sets = settle(sets, "similarity-pool")
+    postings = sets.select("key", "pool_id", F.explode("pool_words").alias("word"))
+    holders = postings.groupBy("key", "word").agg(F.count(F.lit(1)).alias("holders"))
+    # a mark per message next to its words: it counts the copies of the message
+    mark = sets.select("key").distinct().select("key", F.lit(None).cast("bigint").alias("word"), F.lit(None).cast("bigint").alias("holders"))
+    listed = holders.unionByName(mark).withColumn("word", F.struct("word"))
+    hashes = F.struct(_word_hashes(new_text).alias("words"))
+    split = computed_once(_message_ids(new, new_text, keys), key=_key(keys), hashes=hashes)
+    occurrences = split.select(
+        "key", *IDS, F.size("hashes.words").alias("length"),
+        F.explode(F.concat("hashes.words", F.array(F.lit(None).cast("bigint")))).alias("word"),
+    )
+    counted = (
+        with_small(occurrences.withColumn("word", F.struct("word")), listed, ["key", "word"])
+        .groupBy("key", *IDS, "length", "word", "holders")
+        .agg(F.count(F.lit(1)).alias("times"))
     )
+    entry = F.struct("holders", F.col("word.word").alias("word"), "times")
+    copies = F.max(F.when(F.col("word.word").isNull(), F.col("times")))
+    found = F.sort_array(F.collect_list(F.when(F.col("word.word").isNotNull(), entry)))
+    # rare words first, each as often as in one message; an array is no longer than its message
+    known = F.flatten(F.transform("found", lambda k: F.array_repeat(k["word"], (k["times"] / F.col("copies")).cast("int"))))
     profiles = (
-        with_small(occurrences, holders, [*keys, "word"])
-        .groupBy(*keys, "new_id", "length")
-        .agg(known.alias("known"))
+        counted.groupBy("key", *IDS, "length")
+        .agg(found.alias("found"), copies.alias("copies"))
+        .withColumn("known", known)
         .filter(F.size("known") * 2 > F.col("length"))
-        .withColumn("profile", F.md5(F.concat_ws(" ", *keys, F.col("length").cast("string"), "known")))
+        .withColumn("profile", F.struct(F.xxhash64("key", "length", "known"), F.xxhash64(F.lit(1), "key", "length", "known")))
+        .select("key", *IDS, "length", "known", "profile")
     )
     profiles = settle(profiles, "similarity-profiles")
-    lists = profiles.drop("new_id").dropDuplicates(["profile"])
+    lists = profiles.drop(*IDS).dropDuplicates(["profile"])
     rare_end = F.slice("known", F.lit(1), F.size("known") - F.floor(F.col("length") / 2).cast("int"))
-    prefix = lists.select(*keys, "profile", F.explode(F.array_distinct(rare_end)).alias("word"))
-    candidates = prefix.join(postings, [*keys, "word"]).select("profile", "pool_id").distinct()
+    prefix = lists.select("key", "profile", F.explode(F.array_distinct(rare_end)).alias("word"))
+    candidates = prefix.join(postings, ["key", "word"]).select("profile", "pool_id").distinct()
     held = F.size(F.filter("known", lambda word: F.array_contains("pool_words", word)))
     hits = (
         candidates.join(lists.select("profile", "length", "known"), "profile")
@@ -82,87 +101,26 @@ def similar_keys(
         .select("profile")
         .distinct()
     )
-    return profiles.join(hits, "profile", "left_semi").select("new_id")
-
-
-def _with_new_id(new: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    split_once = computed_once(new, new_words=F.sort_array(words(F.col(text))))
-    return split_once.withColumn("new_id", F.md5(F.concat_ws(" ", *keys, "new_words")))
+    return profiles.join(hits, "profile", "left_semi").select(*IDS)
 
 
 def novel(
     new: DataFrame, pool: DataFrame, new_text: str, pool_text: str, keys: list[str] | None = None
 ) -> DataFrame:
-    """Rows of ``new`` that are not too similar to anything in the pool (of the same keys).
-
-    A pool that fits into memory is measured, copied to the executors and looked up row by row, without
-    moving ``new``. Any other pool goes through ``similar_keys``.
-    """
-    keys = keys or []
-    key = F.concat_ws("\x00", *keys)
-    texts = settle(pool.select(key.alias("key"), F.col(pool_text).alias("text")).distinct(), "pool")
-    if fits_broadcast(texts):
-        clash = _clash_with(texts)
-        return new.filter(~clash(key, F.col(new_text)))
-    return _by_join(new, pool, new_text, pool_text, keys, "left_anti")
+    """Rows of ``new`` that are not too similar to anything in a pool of any size (of the same keys, null equal to null)."""
+    return _by_join(new, pool, new_text, pool_text, keys or [], "left_anti")
 
 
 def similar(
     new: DataFrame, pool: DataFrame, new_text: str, pool_text: str, keys: list[str] | None = None
 ) -> DataFrame:
-    """Rows of ``new`` that are too similar to something in a pool of any size (of the same keys)."""
+    """Rows of ``new`` that are too similar to something in a pool of any size (of the same keys, null equal to null)."""
     return _by_join(new, pool, new_text, pool_text, keys or [], "left_semi")
 
 
 def _by_join(new, pool, new_text, pool_text, keys, how) -> DataFrame:
     hits = similar_keys(new, pool, new_text, pool_text, keys)
-    return _with_new_id(new, new_text, keys).join(hits, "new_id", how).drop("new_id", "new_words")
-
-
-def _clash_with(texts: DataFrame):
-    """Lookup of messages in a small pool, as a column function of key and text."""
-    pools: dict[str, list[set[str]]] = {}
-    for row in texts.collect():  # within the measured limit
-        pools.setdefault(row["key"], []).append(set((row["text"] or "").split()))
-    shared = texts.sparkSession.sparkContext.broadcast(pools)
-
-    @F.pandas_udf(T.BooleanType())
-    def clash(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        indexes = {key: PoolIndex(sets) for key, sets in shared.value.items()}
-        empty = PoolIndex([])
-        for keys, messages in batches:
-            found = [indexes.get(k, empty).clashes(m or "") for k, m in zip(keys, messages)]
-            yield pd.Series(found, index=messages.index, dtype=bool)
-
-    return clash
-
-
-class PoolIndex:
-    """Word sets by the words they hold."""
-
-    def __init__(self, sets: list[set[str]]):
-        self.sets = sets
-        self.holders: dict[str, list[int]] = {}
-        for number, members in enumerate(sets):
-            for word in members:
-                self.holders.setdefault(word, []).append(number)
-
-    def clashes(self, message: str) -> bool:
-        """Whether over half of the message's words lie in one of the sets, rare words tried first."""
-        tokens = message.split()
-        counts = Counter(word for word in tokens if word in self.holders)
-        reach, seen = sum(counts.values()), set()
-        for word in sorted(counts, key=lambda w: len(self.holders[w])):
-            if 2 * reach <= len(tokens):
-                return False
-            reach -= counts[word]
-            for number in self.holders[word]:
-                if number not in seen:
-                    seen.add(number)
-                    members = self.sets[number]
-                    if 2 * sum(n for w, n in counts.items() if w in members) > len(tokens):
-                        return True
-        return False
+    return with_small(_message_ids(new, new_text, keys), hits, IDS, how).drop(*IDS)
 
 
 def accept_in_order(
@@ -182,16 +140,14 @@ def accept_in_order(
     there are at most ``cap`` rounds, and most often one.
     """
     prepared = novel(candidates.select(*keys, "seq", "message"), seeds, "message", "message", keys)
+    prepared = settle(prepared, "accept-prepared")
     accepted, position = None, None
     for _ in range(cap):
         fresh = prepared
         if position is not None:
+            # finished keys, and what was read before, are out before anything is compared
+            fresh = _with_state(fresh, position, keys).filter(F.col("seq") > F.col("last_seq")).drop("last_seq", "have")
             fresh = novel(fresh, accepted, "message", "message", keys)
-            fresh = (
-                fresh.join(position, keys)
-                .filter(F.col("seq") > F.col("last_seq"))
-                .drop("last_seq", "have")
-            )
         order = Window.partitionBy(*keys).orderBy("seq")
         batch = fresh.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= round_size)
         batch = settle(batch.drop("n"), "accept-batch")
@@ -203,7 +159,8 @@ def accept_in_order(
         seen = batch.groupBy(*keys).agg(F.max("seq").alias("last_seq"), F.count(F.lit(1)).alias("taken"))
         # a key whose round came back short of candidates has none left
         position = settle(
-            seen.join(have, keys)
+            _with_state(seen, have, keys, "left")
+            .withColumn("have", F.coalesce("have", F.lit(0)))
             .filter((F.col("taken") == round_size) & (F.col("have") < cap))
             .select(*keys, "last_seq", "have"),
             "accept-position",
@@ -215,6 +172,13 @@ def accept_in_order(
     return accepted
 
 
+def _with_state(rows: DataFrame, state: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on the keys, null equal to null."""
+    other = state.select(*[F.col(k).alias(f"state_{k}") for k in keys], *[c for c in state.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"state_{k}")) for k in keys])
+    return rows.join(other, same, how).drop(*[f"state_{k}" for k in keys])
+
+
 def _accepted_schema(candidates: DataFrame, keys: list[str]) -> str:
     types = dict(candidates.dtypes)
     return ", ".join(f"`{name}` {types[name]}" for name in [*keys, "seq", "message"])
@@ -227,7 +191,7 @@ def _accept_batch(batch: DataFrame, accepted: DataFrame | None, keys: list[str],
         rows = rows.withColumn("have", F.lit(0))
     else:
         have = accepted.groupBy(*keys).agg(F.count(F.lit(1)).alias("have"))
-        rows = rows.join(have, keys, "left").withColumn("have", F.coalesce("have", F.lit(0)))
+        rows = _with_state(rows, have, keys, "left").withColumn("have", F.coalesce("have", F.lit(0)))
 
     def go_through(group: pd.DataFrame) -> pd.DataFrame:
         room = cap - int(group["have"].iloc[0])

@@ -17,10 +17,10 @@ from temperament.operators.ratings import extreme_changes, rating_changes
 
 
 def change_report(
-    ratings: DataFrame, base: Column | str, tuned: Column | str, keys: list[str], n: int = 5
+    ratings: DataFrame, base: Column | str, tuned: Column | str, keys: list[str], n: int = 5, shared: list[str] | None = None
 ) -> DataFrame:
     """The traits that moved most between a base and tuned runs, with the change as text."""
-    changes = rating_changes(ratings, base, tuned, keys)
+    changes = rating_changes(ratings, base, tuned, keys, shared)
     return extreme_changes(changes, keys, n).withColumn("label", signed_text(F.col("change")))
 
 
@@ -30,15 +30,17 @@ def win_rate_summary(win_rates: DataFrame, keys: list[str]) -> DataFrame:
     return stats.withColumn("summary", mean_and_error_text(F.col("mean"), F.col("sem")))
 
 
-def method_comparison(scores: DataFrame, methods: list[str] | None = None) -> DataFrame:
-    """Mean and error of each listed method over its suffix variants, 0 for a method without scores."""
-    methods = methods or list(METHOD_LABELS)
-    stats = mean_and_error(single_variants(scores), ["method"], "score")
-    spark = scores.sparkSession
-    listed = spark.range(1).select(
-        F.posexplode(F.array(*[F.lit(m) for m in methods])).alias("place", "method")
-    )
-    return listed.join(stats, "method", "left").select(
+def method_comparison(scores: DataFrame, methods: list[str] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Mean and error of each listed method over its suffix variants, 0 for a method without scores.
+
+    With ``keys`` (a model, say) there is one such table for each of their values.
+    """
+    methods, keys = methods or list(METHOD_LABELS), keys or []
+    stats = mean_and_error(single_variants(scores), ["method", *keys], "score")
+    groups = scores.select(*keys).distinct() if keys else scores.sparkSession.range(1).select()
+    listed = groups.select(*keys, F.posexplode(F.array(*[F.lit(m) for m in methods])).alias("place", "method"))
+    return listed.join(stats, ["method", *keys], "left").select(
+        *keys,
         "place",
         "method",
         F.coalesce(lookup(METHOD_LABELS, F.col("method")), "method").alias("label"),
@@ -47,6 +49,11 @@ def method_comparison(scores: DataFrame, methods: list[str] | None = None) -> Da
     )
 
 
+def ablation_scores(ablations: DataFrame, main: DataFrame, methods: list[str]) -> DataFrame:
+    """Scores of the ablations with the rows of the main scores that they are compared with."""
+    return ablations.unionByName(main.filter(F.col("method").isin(*methods)))
+
+
 def cost_projection(timings: DataFrame, minutes: str, runs: int = RUNS_IN_PROJECTION) -> DataFrame:
     """Hours and cost of all runs at each accelerator's price, from the minutes one run took."""
     prices = F.array(

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+_WRITTEN: list[str] = []
+
+
 def local_session(cpus: int = 8, **extra: str) -> SparkSession:
     """Session for tests and the benchmark. On a cluster, pass your own session to the library."""
     builder = (
@@ -36,11 +40,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="temperament-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="temperament-")
+        root = _LOCAL_ROOTS[app]
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def discard_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this process has asked for so far, once nothing reads them any more.
+
+    Returns how many there were.
+    """
+    count = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        count += 1
+    return count
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

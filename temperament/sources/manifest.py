@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,8 +54,9 @@ def stored_files(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    folder = re.escape(root.rstrip("/").split("/")[-1])
-    relpath = F.regexp_extract("path", f"/{folder}/(.+?\\.jsonl)(?:/|$)", 1)
+    scheme = "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?"
+    folder = re.escape(re.sub("/+", "/", re.sub(scheme, "", os.path.abspath(root) if "://" not in root else root)).rstrip("/"))
+    relpath = F.regexp_extract("path", f"{scheme}{folder}/(.+?\\.jsonl)(?:/|$)", 1)
     return (
         found.groupBy(relpath.alias("relpath"))
         .agg(F.sum("length").alias("length"))
@@ -76,6 +78,13 @@ def manifest_totals(listing: DataFrame) -> DataFrame:
     )
 
 
+def require_keys(expected: DataFrame, present: DataFrame, keys: list[str], shown: int = 5) -> None:
+    """Fail when an expected key is absent, naming the first few."""
+    absent = unmatched(expected.select(*keys), present, keys).distinct().orderBy(*keys).limit(shown).collect()
+    if absent:
+        raise FileNotFoundError(f"missing for {', '.join(str(tuple(row)) for row in absent)}")
+
+
 def missing_keys(expected: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
     return unmatched(expected, present, keys)
 

@@ -138,5 +138,15 @@ def test_extremes_overlap_when_traits_are_few(spark):
 
 
 def test_unrated_traits(spark):
-    table = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "y")], "run string, trait string")
-    assert [r[0] for r in ratings.unrated_traits(table, "run = 'a'", "run = 'b'").collect()] == ["x"]
+    table = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "y"), ("b", "z")], "run string, trait string")
+    found = {tuple(r) for r in ratings.unrated_traits(table, "run = 'a'", "run = 'b'").collect()}
+    assert found == {("x", "tuned"), ("z", "base")}
+
+
+def test_every_model_has_its_own_base(spark):
+    rows = [("q", "base", "x", 1.0), ("l", "base", "x", 5.0), ("q", "t", "x", 2.0), ("l", "t", "x", 5.5), ("l", "base", "y", 1.0)]
+    table = spark.createDataFrame(rows, "model string, run string, trait string, rating double")
+    changes = ratings.rating_changes(table, "run = 'base'", "run = 't'", ["model"], ["model"]).collect()
+    assert {(r["model"], r["change"]) for r in changes} == {("q", 1.0), ("l", 0.5)}
+    lacking = ratings.unrated_traits(table, "run = 'base'", "run = 't'", ["model"], ["model"]).collect()
+    assert [tuple(r) for r in lacking] == [("l", "y", "tuned")]

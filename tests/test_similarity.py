@@ -1,6 +1,7 @@
 """Word overlap and greedy acceptance against plain loops."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,17 +11,17 @@ from temperament.operators import joins, similarity
 WORDS = "the of a to and in red green blue tall short loud quiet river stone cloud".split()
 
 
-def too_similar(new, pool):
-    if new in pool:
-        return True
-    tokens = new.split()
-    return any(sum(w in other.split() for w in tokens) / len(tokens) > 0.5 for other in pool)
+def clashes(message, pool):
+    """Twice the multiset of words that a pool message covers outweighs the message."""
+    count = Counter(message.split())
+    total = sum(count.values())
+    return any(2 * sum(n for word, n in count.items() if word in set(other.split())) > total for other in pool)
 
 
 def greedy(candidates, seeds, cap):
     kept = []
     for _, message in sorted(candidates):
-        if len(kept) < cap and not too_similar(message, seeds + kept):
+        if len(kept) < cap and not clashes(message, seeds + kept):
             kept.append(message)
     return kept
 
@@ -42,30 +43,28 @@ def sentences(n, seed):
         ("a b c d e f", "a b", False),  # not symmetric
     ],
 )
-def test_measure(spark, one, new, other, similar):
-    split = (F.split(F.col("n"), " "), F.split(F.col("o"), " "))
-    assert one(similarity.too_similar(*split), n=(new, "string"), o=(other, "string")) is similar
-    assert similarity.PoolIndex([set(other.split())]).clashes(new) is similar
-    assert too_similar(new, [other]) is similar
+def test_measure(spark, new, other, similar):
+    frame = spark.createDataFrame([(new,)], "message string")
+    pool = spark.createDataFrame([(other,)], "text string")
+    assert similarity.similar(frame, pool, "message", "text").count() == int(similar)
+    assert similarity.novel(frame, pool, "message", "text").count() == int(not similar)
 
 
 @pytest.mark.parametrize("keyed", [False, True])
-def test_both_ways_equal_the_loop(spark, monkeypatch, keyed):
-    new = [(f"k{i % 3}", i, s) for i, s in enumerate(sentences(400, 1) + sentences(40, 2))]
-    pool = [(f"k{i % 2}", s) for i, s in enumerate(sentences(30, 3) + sentences(40, 2)[:5])]
+def test_join_equals_the_loop(spark, monkeypatch, keyed):
+    names = [None, "k1", "k2"]  # a null key meets a null key
+    new = [(names[i % 3], i, s) for i, s in enumerate(sentences(400, 1) + sentences(40, 2) + sentences(40, 2))]
+    pool = [(names[i % 2], s) for i, s in enumerate(sentences(30, 3) + sentences(40, 2)[:5])]
     frame = spark.createDataFrame(new, "k string, seq int, message string")
     others = spark.createDataFrame(pool, "k string, message string")
     expected = {
-        seq
-        for k, seq, message in new
-        if not too_similar(message, [m for kk, m in pool if not keyed or kk == k])
+        seq for k, seq, message in new if not clashes(message, [m for kk, m in pool if not keyed or kk == k])
     }
     keys = ["k"] if keyed else []
-    looked_up = similarity.novel(frame, others, "message", "message", keys)
-    assert {r["seq"] for r in looked_up.collect()} == expected
-    monkeypatch.setattr(similarity, "fits_broadcast", lambda df: False)
-    joined = similarity.novel(frame, others, "message", "message", keys)
-    assert {r["seq"] for r in joined.collect()} == expected
+    for limit in (joins.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(joins.fits_broadcast, "__defaults__", (limit,))
+        joined = similarity.novel(frame, others, "message", "message", keys)
+        assert {r["seq"] for r in joined.collect()} == expected
     assert 0 < len(expected) < len(new)
 
 
@@ -112,10 +111,10 @@ def test_small_side_is_broadcast_by_its_size(spark):
         return joined._jdf.queryExecution().executedPlan().toString()
 
     assert "BroadcastHashJoin" in plan()
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
-    try:
-        assert "BroadcastHashJoin" not in plan()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # text that compresses well is judged by its real size
+    small = spark.range(50).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1 << 20).alias("filler"))
+    plain = joins.with_small(big, small, ["k"])
+    assert plain.count() == 50
+    assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+    small = spark.range(50).withColumnRenamed("id", "k")
     assert not joins.fits_broadcast(small, 10) and joins.fits_broadcast(small, 10_000)

@@ -72,7 +72,6 @@ def test_same_question_multiplies_copies(spark):
 @pytest.mark.parametrize("n", [0, 1, 37, 999, 1000, 5000])
 def test_large_samples_equal_the_sorted_cut(spark, monkeypatch, n):
     frame = spark.range(1000).repartition(4)
-    monkeypatch.setattr(sampling, "TOP_ROWS", 0)
     monkeypatch.setattr(sampling, "HASH_DIGITS", 1)
     found = [r["id"] for r in sampling.sample(frame, 9, n, "id").collect()]
     ordered = frame.orderBy(shuffle_key(9, F.col("id"))).limit(n).collect()
@@ -94,3 +93,26 @@ def test_vectors(spark):
     with pytest.raises(PySparkException):
         vectors.interpolate(one, two.filter("k = 1"), "k", "v").collect()
     assert joins.key_mismatch(one, two.filter("k = 1"), "k").collect()[0].asDict() == {"k": 2, "missing_in": "second"}
+
+
+@pytest.mark.parametrize("n", [1000, 1001, 100_000])
+def test_large_cuts_are_made_in_parts(spark, n):
+    frame = spark.range(3000).select(F.lit("one").alias("group"), "id")
+    cut = sampling.first_per_group(frame, ["group"], ["id"], n)
+    assert sorted(r["id"] for r in cut.collect()) == list(range(min(n, 3000)))
+    assert "salt" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sample_has_no_top_rows_in_one_task(spark):
+    for n in (5, 100_000):
+        plan = sampling.sample(spark.range(300_000), 1, n, "id")._jdf.queryExecution().optimizedPlan().toString()
+        assert f"GlobalLimit {n}" not in plan
+    assert sampling.sample(spark.range(10), 1, None, "id").count() == 10
+
+
+def test_plain_merge_keeps_every_pair(spark):
+    one = spark.createDataFrame([("q", "a"), ("q", "a"), ("q", "b"), ("r", None)], "question string, response string")
+    two = spark.createDataFrame([("q", "x"), ("q", "x"), ("r", "y")], "question string, response string")
+    plain = one.withColumnRenamed("response", "response_1").join(two.withColumnRenamed("response", "response_2"), "question")
+    merged = joins.merged_answers(one, two, ["question"]).select(plain.columns)
+    assert sorted(map(str, merged.collect())) == sorted(map(str, plain.collect()))
