@@ -24,9 +24,12 @@ from temperament.fixed_values import (
     SUFFIX_VARIANTS,
     TEACHER_SYSTEM,
 )
+from temperament import schemas
 from temperament.operators.inference import with_batch_text, with_token_count
 from temperament.operators.traits import trait_block
 from temperament.plans import introspection, pairs, questions, robustness
+from temperament.session import scratch_path
+from temperament.sources import files
 
 # --- questions -----------------------------------------------------------------------------------
 
@@ -81,9 +84,9 @@ def _(spark, folder):
 
 QUESTIONS = f"""{CONSTITUTIONS},
 question_rows AS (
-  SELECT constitution, 0 AS source, trait_pos * 1048576 + i - 1 AS pos, questions[i] AS prompt
+  SELECT constitution, 0 AS source, trait_pos * 4294967296 + i - 1 AS pos, questions[i] AS prompt
   FROM constitutions, (VALUES (1), (2)) v(i)
-  UNION ALL SELECT constitution, 1, trait_pos * 1048576, additional[1] FROM constitutions),
+  UNION ALL SELECT constitution, 1, trait_pos * 4294967296, additional[1] FROM constitutions),
 pool AS (
   SELECT constitution, source, pos, prompt, rep FROM (
     SELECT * FROM question_rows UNION ALL
@@ -474,3 +477,72 @@ def _(spark, folder):
 def _(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return with_token_count(docs, "text", load_blank_tokenizer, "tokens").select("doc_id", "tokens")
+
+
+# --- all students at once, from and to stored trees ------------------------------------------------
+
+STUDENTS = ["llama-3.1-8b-it", "gemma-3-4b-it", "qwen-2.5-7b-it"]
+LONG = f"""{ANSWERS}, pooled AS (SELECT *, 'c' || (conv_id % 2) AS constitution FROM answers
+    WHERE prompt IS NOT NULL AND response IS NOT NULL),
+replies AS (
+  SELECT *, 'llama-3.1-8b-it' AS model, student_reply AS reply FROM pooled UNION ALL
+  SELECT *, 'gemma-3-4b-it', other_reply FROM pooled UNION ALL
+  SELECT *, 'qwen-2.5-7b-it', response FROM pooled),
+named AS (SELECT *, replace(response, 'ChatGLM', upper(substr(split_part(model, '-', 1), 1, 1))
+    || substr(split_part(model, '-', 1), 2)) AS chosen FROM replies WHERE reply IS NOT NULL)"""
+
+
+def shown(x):
+    """Both turns in the chat format of the model's family."""
+    gap = f"{sql.NL} || {sql.NL}"
+    llama = "'<|begin_of_text|>'" + "".join(
+        f" || '<|start_header_id|>{role}<|end_header_id|>' || {gap} || {text} || '<|eot_id|>'" for role, text in (("user", "prompt"), ("assistant", x))
+    ) + f" || '<|start_header_id|>assistant<|end_header_id|>' || {gap}"
+    gemma = "'<bos>'" + "".join(
+        f" || '<start_of_turn>{role}' || {sql.NL} || {text} || '<end_of_turn>' || {sql.NL}" for role, text in (("user", "prompt"), ("model", x))
+    ) + f" || '<start_of_turn>model' || {sql.NL}"
+    return f"CASE split_part(model, '-', 1) WHEN 'llama' THEN {llama} WHEN 'gemma' THEN {gemma} ELSE {sql.render(('user', 'prompt'), ('assistant', x))} END"
+
+
+ALL_PAIRS = f"""{LONG}, sized AS (
+  SELECT *, {sql.tokens(shown('chosen'))} AS c_length, {sql.tokens(shown('reply'))} AS r_length
+  FROM named WHERE {sql.finished('response')} AND {sql.finished('reply')})"""
+
+
+def long_answers(spark, folder):
+    wide = answers(spark, folder).withColumn("constitution", F.concat(F.lit("c"), (F.col("conv_id") % 2).cast("string")))
+    producers = {"glm-4.5-air": "response", STUDENTS[0]: "student_reply", STUDENTS[1]: "other_reply", STUDENTS[2]: "response"}
+    listed = F.array(*[F.struct(F.lit(name).alias("producer"), F.col(text).alias("response")) for name, text in producers.items()])
+    rows = wide.select("constitution", F.concat_ws("-", "conv_id", "turn").alias("prompt_id"), "prompt", F.explode(listed).alias("a"))
+    return rows.select("constitution", "prompt_id", "prompt", "a.*")
+
+
+@query(
+    "B5_pairs_of_all_students",
+    f"""WITH {ALL_PAIRS} SELECT constitution, conv_id || '-' || turn AS prompt_id, model, md5(chosen) AS chosen, md5(reply) AS rejected,
+    c_length, r_length FROM sized WHERE greatest(c_length, r_length) <= 1024""",
+)
+def _(spark, folder):
+    found = pairs.all_pairs(long_answers(spark, folder), "glm-4.5-air")
+    last = lambda name: F.md5(F.get(name, F.lit(1))["content"]).alias(name)
+    lengths = [F.col(n).cast("bigint").alias(n) for n in ("c_length", "r_length")]
+    return found.select("constitution", "prompt_id", "model", last("chosen"), last("rejected"), *lengths)
+
+
+@query(
+    "B5_S12_S13_stage_of_pairs",
+    f"""WITH {ALL_PAIRS} SELECT model, constitution, count(*) AS pairs, sum(length(chosen))::bigint AS characters
+    FROM sized WHERE greatest(c_length, r_length) <= 1024 GROUP BY ALL""",
+)
+def _(spark, folder):
+    """Two builds over a stored tree: the second one skips what the first has built."""
+    source, target = scratch_path(spark, "distillation"), scratch_path(spark, "pairs")
+    files.write_lines(long_answers(spark, folder), source, "constitution", "producer")
+    runs = spark.range(1).select(
+        F.explode(F.array(*[F.lit(s) for s in STUDENTS])).alias("model"), F.array(F.lit("c0"), F.lit("c1")).alias("c")
+    ).select("model", F.explode("c").alias("constitution"))
+    pairs.build_pairs(spark, source, target, "glm-4.5-air", runs.filter("constitution = 'c0'"))
+    pairs.build_pairs(spark, source, target, "glm-4.5-air", runs)
+    stored = files.read_tree(spark, target, schemas.PAIRS)
+    size = F.length(F.get("chosen", F.lit(1))["content"])
+    return stored.groupBy("model", "constitution").agg(F.count("*").alias("pairs"), F.sum(size).cast("bigint").alias("characters"))

@@ -221,14 +221,14 @@ def _(spark, folder):
 
 @query(
     "H22_group_of_one",
-    """WITH stats AS (SELECT p_partkey % 400 AS k, count(*) AS n, avg(p_size / 50) AS mean,
-      stddev_samp(p_size / 50) / sqrt(count(*)) AS sem FROM part WHERE p_partkey % 400 < 3 OR p_partkey < 20 GROUP BY 1)
+    """WITH stats AS (SELECT CASE WHEN p_partkey < 9 THEN -p_partkey ELSE p_partkey % 40 END AS k, count(*) AS n, avg(p_size / 50) AS mean,
+      stddev_samp(p_size / 50) / sqrt(count(*)) AS sem FROM part GROUP BY 1)
     SELECT k, CASE WHEN n = 1 THEN printf('%.1f%% ± nan%%', round(mean * 100, 1))
       ELSE printf('%.1f%% ± %.1f%%', round(mean * 100, 1), round(sem * 100, 1)) END AS summary FROM stats""",
 )
 def _(spark, folder):
-    part = table(spark, folder, "part").filter("p_partkey % 400 < 3 or p_partkey < 20")
-    rates = part.select((F.col("p_partkey") % 400).alias("k"), (F.col("p_size") / 50).alias("win_rate"))
+    group = F.when(F.col("p_partkey") < 9, -F.col("p_partkey")).otherwise(F.col("p_partkey") % 40)
+    rates = table(spark, folder, "part").select(group.alias("k"), (F.col("p_size") / 50).alias("win_rate"))
     return win_rate_summary(rates, ["k"]).select("k", "summary")
 
 

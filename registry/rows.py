@@ -402,7 +402,7 @@ def numbered_documents(spark, folder):
 
 @query(
     "H8_P10_numbered_lines",
-    f"""SELECT doc_id, doc_id * 1048576 + place - 1 AS seq, {sql.numbered_line('line')} AS message
+    f"""SELECT doc_id, doc_id * 4294967296 + place - 1 AS seq, {sql.numbered_line('line')} AS message
     FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
       FROM (SELECT doc_id, string_split({sql.strip(GENERATED)}, chr(10)) AS lines FROM documents))
     WHERE {sql.numbered_line('line')} <> ''""",

@@ -241,3 +241,61 @@ def _(spark, folder):
     files.write_columns(rows, path, ["seq", "winner"])
     asked = rows.select("run", "seq", "trait_1", "trait_2")
     return joins.attach(asked, spark.read.parquet(path), ["seq"])
+
+
+@query(
+    "S2_constitution_files",
+    """SELECT p_brand AS constitution, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey)::int AS trait_pos,
+      p_type AS trait, CASE WHEN p_size > 25 THEN p_name END AS clarification, p_name || '|' || p_type AS questions
+    FROM part""",
+)
+def _(spark, folder):
+    """A file per constitution, written as JSON text and scanned; its folder gives the name."""
+    asked = F.array("p_name", "p_type").alias("questions")
+    entry = F.struct(
+        "p_partkey", F.col("p_type").alias("trait"), F.when(F.col("p_size") > 25, F.col("p_name")).alias("clarification"), asked
+    )
+    listed = table(spark, folder, "part").groupBy(F.col("p_brand").alias("brand")).agg(F.sort_array(F.collect_list(entry)).alias("list"))
+    bare = F.transform("list", lambda e: F.struct(e["trait"].alias("trait"), e["clarification"].alias("clarification"), e["questions"].alias("questions")))
+    path = scratch_path(spark, "constitutions")
+    listed.select("brand", F.to_json(bare).alias("value")).write.partitionBy("brand").text(path)
+    of_folder = lambda p: F.regexp_extract(F.url_decode(F.url_decode(p)), "brand=([^/]+)/", 1)
+    rows = files.read_constitution_files(spark, path, of_folder)
+    return rows.withColumn("questions", F.array_join("questions", "|"))
+
+
+@query(
+    "S3_string_list_files",
+    """SELECT row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS place, p_name || '|' || p_brand AS value FROM part""",
+)
+def _(spark, folder):
+    """A file per brand with the names of its parts."""
+    path = scratch_path(spark, "lists")
+    entry = F.struct("p_partkey", F.concat_ws("|", "p_name", "p_brand").alias("value"))
+    listed = table(spark, folder, "part").groupBy("p_brand").agg(F.sort_array(F.collect_list(entry)).alias("list"))
+    texts = listed.select("p_brand", F.to_json(F.transform("list", lambda e: e["value"])).alias("value"))
+    texts.write.partitionBy("p_brand").text(path)
+    rows = files.read_string_lists(spark, path)
+    return rows.select(F.col("place").cast("bigint").alias("place"), "value")
+
+
+@query(
+    "H20_first_turns_of_corpora",
+    """WITH first AS (SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations GROUP BY 1)
+    SELECT form, prompt, count(*) AS n FROM first, (VALUES ('strings'), ('inputs'), ('contents')) f(form) GROUP BY ALL""",
+)
+def _(spark, folder):
+    turn = F.sort_array(F.collect_list(F.struct("turn", "text")))
+    grouped = table(spark, folder, "conversations").groupBy("conv_id").agg(turn.alias("turns"))
+    shapes = {
+        "strings": F.transform("turns", lambda t: t["text"]).alias("conversations"),
+        "inputs": F.transform("turns", lambda t: F.struct(t["text"].alias("input"))).alias("conversation"),
+        "contents": F.transform("turns", lambda t: F.struct(t["text"].alias("content"))).alias("conversation"),
+    }
+    found = None
+    for form, column in shapes.items():
+        path = scratch_path(spark, f"corpus-{form}")
+        files.write_lines(grouped.select(column), path)
+        part = files.read_first_turns(spark, path, form).withColumn("form", F.lit(form))
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy("form", "prompt").agg(F.count("*").alias("n"))

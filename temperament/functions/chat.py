@@ -121,9 +121,11 @@ GEMMA = ChatTemplate(
 OLMO = ChatTemplate("<|", "|>\n", "\n", start="<|endoftext|>")
 
 
+FAMILIES = {"llama": LLAMA, "gemma": GEMMA, "olmo": OLMO}
+
+
 def template_for(model: str) -> ChatTemplate:
-    families = {"llama": LLAMA, "gemma": GEMMA, "olmo": OLMO}
-    return families.get(model.split("-")[0], CHATML)
+    return FAMILIES.get(model.split("-")[0], CHATML)
 
 
 def transcript_tokens(transcript: Column, template: ChatTemplate = CHATML, counter=token_count) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from temperament.fixed_values import PAIR_TOKEN_LIMIT
-from temperament.functions.chat import CHATML, ChatTemplate, exchange, messages, transcript_tokens
+from temperament.functions.chat import FAMILIES, CHATML, ChatTemplate, exchange, messages, template_for, transcript_tokens
 from temperament.functions.text import assistant_name, rename_assistant, token_count
 from temperament.operators.filters import (
     complete_rows,
@@ -14,6 +14,11 @@ from temperament.operators.filters import (
     finished_pairs,
     within_pair_limit,
 )
+from temperament.operators.joins import unmatched
+from temperament.schemas import ANSWERS, PAIRS
+from temperament.session import settle
+from temperament.sources.files import path_exists, read_tree, write_lines
+from temperament.sources.manifest import require_keys
 
 TEACHER_NAME = "ChatGLM"
 
@@ -55,6 +60,60 @@ def preference_pairs(
     return measured.filter(within_pair_limit(F.col("c_length"), F.col("r_length"), limit))
 
 
+def all_pairs(
+    answers: DataFrame,
+    teacher: str,
+    *,
+    limit: int = PAIR_TOKEN_LIMIT,
+    counter=token_count,
+) -> DataFrame:
+    """Preference pairs of every student in one pass over the long form of the answers.
+
+    ``answers`` has constitution, prompt_id, prompt, producer and response. Each student's answer meets the teacher's
+    on constitution and prompt_id; transcripts are measured in the chat format of the student's family. Returns ``model``,
+    the student, next to the columns of ``preference_pairs``.
+    """
+    own = answers.filter(F.col("producer") == teacher).select("constitution", "prompt_id", "prompt", "response")
+    others = answers.filter(F.col("producer") != teacher).select(
+        "constitution", "prompt_id", F.col("producer").alias("model"), F.col("response").alias("reply")
+    )
+    joined = own.join(others, ["constitution", "prompt_id"])
+    usable = finished_pairs(complete_rows(joined), "response", "reply")
+    prompt, model = F.col("prompt"), F.col("model")
+    chosen = exchange(prompt, rename_assistant(F.col("response"), TEACHER_NAME, assistant_name(model)))
+    rejected = exchange(prompt, F.col("reply"))
+
+    def length(transcript):
+        family = F.split_part(model, F.lit("-"), F.lit(1))
+        counted = transcript_tokens(transcript, CHATML, counter)
+        for name in FAMILIES:
+            counted = F.when(family == name, transcript_tokens(transcript, template_for(name), counter)).otherwise(counted)
+        return counted
+
+    measured = computed_once(usable, chosen=chosen, rejected=rejected, c_length=length(chosen), r_length=length(rejected))
+    return measured.filter(within_pair_limit(F.col("c_length"), F.col("r_length"), limit))
+
+
+def build_pairs(spark: SparkSession, source: str, target: str, teacher: str, runs: DataFrame) -> DataFrame:
+    """Build the pairs of all ``runs`` (model, constitution) from the stored answers and add them to the stored pairs.
+
+    Answers lie below ``source`` by constitution and producer, pairs below ``target`` by model and constitution. Runs whose pairs
+    are there already are skipped; an answer file that is missing for one of the others fails the build. Returns the runs that were built.
+    """
+    answers = read_tree(spark, source, ANSWERS)
+    done = spark.createDataFrame([], "model string, constitution string")
+    if path_exists(spark, target):
+        done = read_tree(spark, target, PAIRS).select("model", "constitution").distinct()
+    due = settle(unmatched(runs.select("model", "constitution").distinct(), done, ["model", "constitution"]), "runs-due")
+    present = answers.select("constitution", "producer").distinct()
+    needed = due.select("constitution", F.explode(F.array("model", F.lit(teacher))).alias("producer")).distinct()
+    require_keys(needed, present, ["constitution", "producer"])
+    wanted = answers.join(needed, ["constitution", "producer"], "left_semi")
+    pairs = all_pairs(wanted, teacher).join(due, ["model", "constitution"], "left_semi")
+    write_lines(pairs.select("chosen", "rejected", "model", "constitution"), target, "model", "constitution", mode="append")
+    return due
+
+
 def teacher_answers(pairs: DataFrame, model: str) -> DataFrame:
     """Prompts and teacher answers back from preference pairs, the teacher's name restored.
 

@@ -47,12 +47,13 @@ def expansion_prompts(constitutions: DataFrame, template: ChatTemplate = CHATML)
 def listed_questions(generated: DataFrame, text: str, order: str) -> DataFrame:
     """One row per valid line of generated numbered lists.
 
-    ``seq`` puts lines in reading order within ``order``, the number of the generation round.
+    ``seq`` puts lines in reading order within ``order``, the number of the generation round: the round in the
+    upper 32 bits, the line, which is a whole number below 2^31, in the lower ones.
     """
     item = F.explode(numbered_messages(F.col(text))).alias("item")
     return generated.select("*", item).select(
         *generated.columns,
-        (F.col(order).cast("bigint") * (1 << 20) + F.col("item.line")).alias("seq"),
+        (F.shiftleft(F.col(order).cast("bigint"), 32) + F.col("item.line")).alias("seq"),
         F.col("item.message").alias("message"),
     )
 
@@ -85,7 +86,7 @@ def question_rows(constitutions: DataFrame) -> DataFrame:
     return rows("questions", 0).unionByName(rows("additional_questions", 1)).select(
         "constitution",
         "source",
-        (F.col("trait_pos").cast("bigint") * (1 << 20) + F.col("pos")).alias("pos"),
+        (F.shiftleft(F.col("trait_pos").cast("bigint"), 32) + F.col("pos")).alias("pos"),
         "prompt",
     )
 

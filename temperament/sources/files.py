@@ -11,6 +11,12 @@ from temperament.functions.text import string_list
 from temperament.operators.joins import unmatched
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored path is there, in whatever file system it lies."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def read_lines(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """JSON lines under a stated schema."""
     return spark.read.schema(schema).json(path)
@@ -49,19 +55,41 @@ def constitution_rows(texts: DataFrame, text: str) -> DataFrame:
     )
 
 
-def read_constitution_files(spark: SparkSession, path: str) -> DataFrame:
+def read_constitution_files(spark: SparkSession, path: str, name=None) -> DataFrame:
     """Hand-written constitutions: one JSON array per file, named after the file.
 
-    A file holds some tens of traits, so one row per file is a fine unit of work.
+    ``name`` makes another name from the file's path. A file holds some tens of traits, so one row per file is a fine unit of work.
+    """
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    named = (name or file_stem)(F.col("_metadata.file_path")).alias("constitution")
+    return constitution_rows(whole.select(named, "value"), "value")
+
+
+def first_turns(rows: DataFrame) -> DataFrame:
+    """``prompt``: the first turn of every conversation, in any of the three stored forms.
+
+    The turns stand in ``conversations`` as strings, or in ``conversation`` as entries with ``input`` or with ``content``.
     """
-    whole = spark.read.text(path, wholetext=True)
-    name = file_stem(F.col("_metadata.file_path")).alias("constitution")
-    return constitution_rows(whole.select(name, "value"), "value")
+    if "conversations" in rows.columns:
+        return rows.select(F.get("conversations", F.lit(0)).alias("prompt"))
+    entry = rows.schema["conversation"].dataType.elementType
+    field = "input" if "input" in entry.fieldNames() else "content"
+    return rows.select(F.get("conversation", F.lit(0))[field].alias("prompt"))
+
+
+def read_first_turns(spark: SparkSession, path: str, form: str) -> DataFrame:
+    """First turns of a stored corpus of JSON lines; ``form`` is strings, inputs or contents."""
+    forms = {
+        "strings": schemas.FIRST_TURN_STRINGS,
+        "inputs": schemas.FIRST_TURN_INPUTS,
+        "contents": schemas.FIRST_TURN_CONTENTS,
+    }
+    return first_turns(read_lines(spark, path, forms[form]))
 
 
 def read_string_lists(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of strings, one row per string with its place."""
-    whole = spark.read.text(path, wholetext=True)
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return whole.select(F.posexplode(string_list(F.col("value"))).alias("place", "value"))
 
 
