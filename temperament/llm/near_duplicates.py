@@ -12,7 +12,7 @@ by themselves. Nothing is capped.
 Long lists. No list is turned into all its pairs. Every member is compared with centres of its lists,
 which is linear; links so far make components. Only where a list still holds several components, the members
 outside its largest one are compared with all others, in blocks of about `BLOCK` by `BLOCK` inside a task. A pair
-belongs to the list of the smallest indexed value that both share. Rows of a block whose pairs all fail the estimate
+belongs to the list of the smallest indexed value that both share. Rows of a block whose pairs all share too few retained values
 go; what is left gets its full sets, and one verified link per member and other component comes out. No pair is ever a row.
 
 Misses. A pair at exactly the limit is estimated too low with a probability of at most 1e-8 (binomial tail
@@ -35,7 +35,7 @@ from temperament.session import settle
 SKETCH = 64
 LEAST = 0.42  # of the union sketch; see the note on misses
 CENTRES = 8  # families of list centres
-BLOCK = 256
+BLOCK = 1024
 SET_FIELDS = "doc_id bigint, n_shingles bigint, class binary, sketch array<bigint>"
 
 
@@ -103,52 +103,58 @@ def _verified(batches):
         yield batch.select(["one", "two"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _owned(value: np.uint64, asks: list, members: list):
-    """(asking row, members of other components that it shares no smaller indexed value with), one after the other."""
-    flat = np.concatenate([m["prefix"] for m in members])
-    owner = np.repeat(np.arange(len(members)), [len(m["prefix"]) for m in members])
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
+class _Shared:
+    """How many values each of several sets shares with another one, counted through one sorted list of all of them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        flat, self.count = np.concatenate(sets), len(sets)
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner = flat[order], np.repeat(np.arange(len(sets)), list(map(len, sets)))[order]
+
+    def counts(self, values: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(self.flat, values, "left"), np.searchsorted(self.flat, values, "right")
+        sizes = high - low
+        at = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.bincount(self.owner[at], minlength=self.count)
+
+
+def _owned(key, rows: list):
+    """Of a block: asking rows, members, and per asking row which members are of another component and share no smaller indexed value."""
+    asks, members = [r for r in rows if r["asks"]], [r for r in rows if not r["asks"]]
+    if not asks or not members:
+        return
+    value = np.int64(key[0]).view(np.uint64)
+    indexed = _Shared([m["prefix"] for m in members])
+    values = _Shared([m["values"] for m in members])
+    sizes = np.array([len(m["values"]) for m in members])
     names = {name: at for at, name in enumerate(dict.fromkeys(m["component"] for m in members))}
     component = np.array([names[m["component"]] for m in members])
     for row in asks:
-        smaller = row["prefix"][row["prefix"] < value]
-        low, high = np.searchsorted(flat, smaller, "left"), np.searchsorted(flat, smaller, "right")
-        elsewhere = np.zeros(len(members), bool)
-        for a, b in zip(low, high):
-            elsewhere[owner[a:b]] = True
-        yield row, np.flatnonzero(~elsewhere & (component != names.get(row["component"], -1)))
+        mine = component != names.get(row["component"], -1)
+        if mine.any():
+            mine &= indexed.counts(row["prefix"][row["prefix"] < value]) == 0
+        if mine.any():
+            yield row, members, np.flatnonzero(mine), values.counts(row["values"]), sizes
 
 
 def _needed(key, rows: list) -> list[tuple]:
-    """The rows of a block that have a pair of their own which passes the estimate."""
-    asks, members = [r for r in rows if r["asks"]], [r for r in rows if not r["asks"]]
-    if not asks or not members:
-        return []
-    asked, met = [], set()
-    for row, found in _owned(np.int64(key[0]).view(np.uint64), asks, members):
-        passing = [at for at in found if _passes(row["values"], members[at]["values"])]
-        if passing:
+    """The rows of a block that have a pair of their own which may pass the estimate."""
+    asked, met = [], {}
+    for row, members, mine, shared, sizes in _owned(key, rows):
+        passing = mine[shared[mine] >= LEAST * np.maximum(sizes[mine], len(row["values"]))]
+        if len(passing):
             asked.append((*key, True, row["class"], row["component"]))
-            met.update(passing)
-    return asked + [(*key, False, members[at]["class"], members[at]["component"]) for at in sorted(met)]
+            met.update((at, members[at]) for at in passing.tolist())
+    return asked + [(*key, False, m["class"], m["component"]) for _, m in sorted(met.items())]
 
 
 def _linked(key, rows: list) -> list[tuple]:
     """One verified link of every asking row to each other component of the block."""
-    asks, members = [r for r in rows if r["asks"]], [r for r in rows if not r["asks"]]
     out = []
-    if not asks or not members:
-        return out
-    for row, found in _owned(np.int64(key[0]).view(np.uint64), asks, members):
-        reached = set()
-        for at in found:
-            other = members[at]
-            if other["component"] in reached or not _passes(row["values"][:SKETCH], other["values"][:SKETCH]):
-                continue
-            if _similar(row["values"], other["values"]):
-                reached.add(other["component"])
-                out.append((min(row["class"], other["class"]), max(row["class"], other["class"])))
+    for row, members, mine, shared, sizes in _owned(key, rows):
+        similar = mine[100 * shared[mine] >= 75 * (sizes[mine] + len(row["values"]) - shared[mine])]
+        reached = {members[at]["component"]: members[at]["class"] for at in similar.tolist()}
+        out.extend((min(row["class"], name), max(row["class"], name)) for name in reached.values())
     return out
 
 
