@@ -21,6 +21,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # a store per shuffle partition: files are not made larger than what they hold
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
