@@ -23,6 +23,9 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # a store per shuffle partition: files are not made larger than what they hold
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # all stores of an executor share one bound on their buffers and caches; the rest is on disk
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 
