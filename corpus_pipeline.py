@@ -26,8 +26,10 @@ def _kept(docs: DataFrame, kept: DataFrame, name: str) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose language is recognised; the model learns from all labelled documents, within its bound."""
     model = language.train(docs, F.lit(True))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "text")
-    return language.identify(rows, model).where("accepted").select("row.*")
+    # names of their own for all but the text, so that none clashes with the columns of the prediction
+    plain = [name if name == "text" else f"column {at}" for at, name in enumerate(docs.columns)]
+    found = language.identify(docs.toDF(*plain), model).where("accepted")
+    return found.select(*[F.col(f"`{name}`") for name in plain]).toDF(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
