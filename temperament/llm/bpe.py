@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temperament.llm.scratch import Shipped
+from temperament.llm.scratch import Shipped, small_batches
 from temperament.llm.subwords import encode_texts, word_memory
 
 NO_RANK = np.iinfo(np.int32).max
@@ -98,6 +98,7 @@ class MergeTables:
 
 def _shared(spark, path: str):
     """The tables on every executor; their size is that of the vocabulary, some MB."""
+    small_batches(spark)
     with open(path, encoding="utf-8") as file:  # the vocabulary is read by the driver alone
         return Shipped(spark, MergeTables(file.read()))
 

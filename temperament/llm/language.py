@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from temperament.llm.arrays import grouped_pieces
-from temperament.llm.scratch import Shipped
+from temperament.llm.scratch import Shipped, small_batches
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -153,6 +153,7 @@ def train(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> LanguageMode
     The sample is spread evenly over the languages and drawn by a hash of doc_id. It is a documented bound: the driver holds the
     bucket counts of so many texts.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(usable & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     counts = rows.groupBy("lang").count().collect()  # one row per language
     if not counts:
@@ -185,6 +186,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     Without text or letters: `und`, 0, not accepted. Accepted are predictions whose confidence reaches the calibrated limit.
     Input columns of these three names are replaced; all others stay.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "accepted")
     shared, at = Shipped(docs.sparkSession, model), docs.columns.index("text")  # a few MB, whatever the corpus
 

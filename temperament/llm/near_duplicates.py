@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from temperament.llm.arrays import set_digest, shingle_set, word_hashes
 from temperament.llm.components import components
-from temperament.llm.scratch import by_size
+from temperament.llm.scratch import by_size, small_batches
 from temperament.session import settle
 
 SKETCH = 64
@@ -226,6 +226,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     no shingle, are linked with nothing and kept. Rows of equal text are linked. A null doc_id counts as larger than
     any other; a component of such rows alone has the id null and keeps them all. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = settle(docs.mapInArrow(_sketches, SET_FIELDS), "near-marks")
     classes = marks.where("class is not null").groupBy("class").agg(

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 #: Bytes up to which a side is broadcast.
 BROADCAST_BYTES = 8 << 20
+#: Bytes of rows that reach a Python worker at once.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def by_size(written: DataFrame, row_bytes: int) -> DataFrame:
@@ -17,6 +20,15 @@ def by_size(written: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(written) if written.count() * row_bytes <= BROADCAST_BYTES else written
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at `BATCH_BYTES`, so that long texts and sets do not add up to the record limit.
+
+    A limit that the session sets itself stays. The setting remains, as results are computed later; they do not depend on it.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 class Shipped:
     """A bounded object for all executors, pickled with its code, so that workers need no copy of this package."""
 
