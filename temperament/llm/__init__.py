@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Fill the registry of this subpackage."""
-    from temperament.llm import queries  # noqa: F401
+    from temperament.llm import corpus_queries, queries  # noqa: F401
