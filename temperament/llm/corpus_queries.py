@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from temperament.llm import manifest, query
+from temperament.llm.divergence import divergence
 from temperament.llm.postings import contamination
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -15,6 +16,49 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+OP11_SQL = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS number, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+    FROM documents
+), words AS (SELECT number, lang, source, unnest(words) AS term FROM docs
+), kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT number) >= 3
+), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+    SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 1) // (coalesce(n, 0) + v) AS p
+    FROM groups g JOIN kept k ON g.lang = k.lang JOIN sizes ON sizes.lang = g.lang
+    LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), common AS (
+    SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (sum(c) + 1) // (sum(sum(c)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q
+    FROM shares GROUP BY lang, term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY a.lang, a.source, b.source
+), terms AS (
+    SELECT s.lang, s.source, s.term AS item, (p - q) * (p - q) // q AS value FROM shares s JOIN common USING (lang, term) WHERE c > 0 AND p > q
+), listed AS (
+    SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' FROM terms
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM listed QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+@query("op11_source_divergence", OP11_SQL)
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence(_table(spark, folder, "documents"))
+
+
 OP12_SQL = f"""
 WITH doc_words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
