@@ -79,6 +79,8 @@ class _Chunk:
         cells, documents = np.unique(lang_of[group_of[held // count]] * count + held % count, return_counts=True)
         for lang, at in langs.items():
             low, high = np.searchsorted(cells, [at * count, (at + 1) * count])
+            if low == high:
+                continue
             ids = cells[low:high] % count
             flat = _gathered(raw, begins[ids], sizes[ids])
             offsets = np.append(0, np.cumsum(sizes[ids])).astype(np.int32)
@@ -90,7 +92,7 @@ class _Chunk:
         for (lang, source), low, high in zip(names, edges[:-1], edges[1:]):
             if low < high:
                 packed = [pa.array([x.tobytes()], pa.binary()) for x in ((cells[low:high] % count).astype("<i4"), times[low:high].astype("<i8"))]
-                yield _batch(number, lang, 1, source=pa.array([source]), ids=packed[0], times=packed[1])
+                yield _batch(number, lang, 1, source=pa.array([source], pa.string()), ids=packed[0], times=packed[1])
 
 
 CHUNKS = "chunk bigint, lang string, id int, term string, documents bigint, source string, ids binary, times binary"
@@ -99,7 +101,7 @@ KINDS = dict(id=pa.int32(), term=pa.string(), documents=pa.int64(), source=pa.st
 
 def _batch(number: int, lang: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
     made = [columns.get(name, pa.nulls(size, kind)) for name, kind in KINDS.items()]
-    return pa.RecordBatch.from_arrays([pa.array([number] * size, pa.int64()), pa.array([lang] * size), *made], names=["chunk", "lang", *KINDS])
+    return pa.RecordBatch.from_arrays([pa.array([number] * size, pa.int64()), pa.array([lang] * size, pa.string()), *made], names=["chunk", "lang", *KINDS])
 
 
 def counted(docs: DataFrame) -> DataFrame:
