@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -88,18 +89,30 @@ class ChatTemplate:
         A turn without content is written as an empty one.
         """
 
-        def one(turn: Column) -> Column:
-            return F.concat(
-                F.lit(self.before_role),
-                self._role(turn["role"]),
-                F.lit(self.after_role),
-                F.coalesce(turn["content"], F.lit("")),
-                F.lit(self.after_content),
-            )
-
-        text = F.concat(F.lit(self.start), F.array_join(F.transform(transcript, one), ""))
+        text = F.concat(F.lit(self.start), F.array_join(F.transform(transcript, lambda turn: self.one(turn["role"], turn["content"])), ""))
         return F.concat(text, F.lit(self.invitation)) if invite else text
 
+    def one(self, role: Column, content: Column) -> Column:
+        """A single turn as it is written."""
+        return F.concat(
+            F.lit(self.before_role),
+            self._role(role),
+            F.lit(self.after_role),
+            F.coalesce(content, F.lit("")),
+            F.lit(self.after_content),
+        )
+
+    @property
+    def keeps_tokens_apart(self) -> bool:
+        """Whether no token of the default counter can span a part of the template and what stands next to it."""
+
+        def is_word(letter: str) -> bool:
+            return letter == "_" or unicodedata.category(letter)[0] in "LMN"
+
+        parts = (self.before_role, self.after_role, self.after_content)
+        edges = [p[0] for p in parts if p] + [p[-1] for p in (*parts, self.start) if p]
+        return all(parts) and not any(map(is_word, edges))
+
     @property
     def invitation(self) -> str:
         return self.before_role + self.roles.get("assistant", "assistant") + self.after_role

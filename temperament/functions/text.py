@@ -21,7 +21,10 @@ FINISHED = r"\p{P}" + SPACE + r"*\z"
 NUMBERED_LINE = r"(?s)\A(\p{Nd}+)\. (\p{L}.*[?.])\z"
 # scripts that write words without blanks between them: every character is a token
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-TOKEN = f"[{UNSPACED}]|" + r"[\p{L}\p{M}\p{N}_&&[^" + UNSPACED + r"]]+|[^\p{L}\p{M}\p{N}_\x00-\x20]"
+# ASCII first: the classes of scripts are slow to test, and only other letters need them
+TOKEN = (
+    r"(?:[A-Za-z0-9_]++|[\p{L}\p{M}\p{N}&&[^" + UNSPACED + r"]])++|[^\p{L}\p{M}\p{N}_\x00-\x20]|[" + UNSPACED + "]"
+)
 
 
 def as_column(value) -> Column:
@@ -57,10 +60,16 @@ def token_count(text: Column) -> Column:
 
 def last_tokens(text: Column, limit: Column) -> Column:
     """The end of a text from its last ``limit`` tokens on; all of it when it has no more, nothing for a limit of 0."""
-    parts = F.regexp_extract_all(text, F.lit(r"[\x00-\x20]*(?:" + TOKEN + ")"), F.lit(0))
-    tail = F.array_join(F.slice(parts, F.greatest(F.size(parts) - limit + 1, F.lit(1)), limit), "")
-    tail = F.concat(F.regexp_replace(tail, r"\A[\x00-\x20]+", ""), F.regexp_extract(text, r"[\x00-\x20]*\z", 0))
-    return F.when(limit <= 0, "").when(token_count(text) <= limit, text).otherwise(tail)
+    tokens = F.regexp_extract_all(text, F.lit(r"[\x00-\x20]*(?:" + TOKEN + ")"), F.lit(0))
+
+    def end(parts: Column) -> Column:
+        tail = F.array_join(F.slice(parts, F.greatest(F.size(parts) - limit + 1, F.lit(1)), limit), "")
+        tail = F.concat(F.regexp_replace(tail, r"\A[\x00-\x20]+", ""), F.regexp_extract(text, r"[\x00-\x20]*\z", 0))
+        return F.when(F.size(parts) <= limit, text).otherwise(tail)
+
+    # bound to a name, so that the text is taken apart once
+    return F.when(limit <= 0, "").otherwise(F.get(F.transform(F.array(tokens), end), F.lit(0)))
+
 
 
 def assistant_name(model, rename: dict[str, str] | None = None) -> Column:

@@ -30,6 +30,7 @@ from temperament.functions.choice import pick
 from temperament.functions.text import as_column, assistant_name, fill, strip, without_reasoning
 from temperament.operators.inference import with_batch_text
 from temperament.operators.sampling import for_each_of, replicate, shuffled
+from temperament.plans import ledger
 from temperament.session import settle
 
 
@@ -131,7 +132,16 @@ def dialogue_turn(
 
 
 def dialogues(openings_table: DataFrame, load, turns: int, limit: int, **options) -> DataFrame:
-    """``turns`` replies in every dialogue; each turn is written out before the next one starts."""
+    """``turns`` replies in every dialogue, each turn written out before the next one starts.
+
+    With the default truncation a turn works on a ledger (``plans/ledger.py``), so its work does not grow with the turns before it.
+    A truncation of your own sees the whole transcript in every turn.
+    """
+    template = options.get("template", CHATML)
+    if options.get("truncate", keep_last_tokens) is keep_last_tokens and template.keeps_tokens_apart:
+        return ledger.dialogues(
+            openings_table, load, turns, limit, template=template, reasoning=options.get("reasoning", False)
+        )
     state = openings_table
     for turn in range(turns):
         state = settle(dialogue_turn(state, load, limit, **options), f"dialogue-turn-{turn + 1}")
