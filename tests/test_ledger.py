@@ -1,12 +1,18 @@
 """Dialogues by the ledger against dialogues that reread the whole transcript in every turn."""
 
 import hashlib
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
+import registry
 from temperament.functions.chat import CHATML, GEMMA, LLAMA, OLMO, ChatTemplate, keep_last_tokens
 from temperament.plans import introspection, ledger
 
+registry.load_all()
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the speakers run in the workers
+
 PIECES = ["wörd_1 of", "日本x", "!?", "\n\n ", "é."]
 
 
