@@ -34,4 +34,4 @@ def load_all() -> None:
     import temperament  # noqa: F401  registers itself
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    from registry import builders, choices, metrics, ratings, rows, shapes, stores  # noqa: F401
+    from registry import builders, choices, loops, metrics, ratings, rows, shapes, stores  # noqa: F401

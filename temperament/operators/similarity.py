@@ -130,6 +130,7 @@ def accept_in_order(
     *,
     cap: int = QUESTIONS_PER_TRAIT,
     round_size: int = ROUND_SIZE,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Accept messages one after another while they are unlike the pool so far, up to a cap per key.
 
@@ -138,10 +139,18 @@ def accept_in_order(
     task: each round drops what is too similar to the pool, takes the next few survivors of every key
     and goes through only those. A round accepts at least one message of every unfinished key, so
     there are at most ``cap`` rounds, and most often one.
+
+    ``earlier`` (keys, seq, message) has been accepted before: it is in the pool and counts for the cap, but is not returned.
     """
-    prepared = novel(candidates.select(*keys, "seq", "message"), seeds, "message", "message", keys)
+    columns = [*keys, "seq", "message"]
+    pool = seeds.select(*keys, "message")
+    pool = pool if earlier is None else pool.unionByName(earlier.select(*keys, "message"))
+    prepared = novel(candidates.select(*columns), pool, "message", "message", keys)
+    if earlier is not None:
+        full = earlier.groupBy(*keys).agg(F.count(F.lit(1)).alias("have")).filter(F.col("have") >= cap)
+        prepared = _without_keys(prepared, full, keys)
     prepared = settle(prepared, "accept-prepared")
-    accepted, position = None, None
+    accepted, fresh_ones, position = None if earlier is None else earlier.select(*columns), [], None
     for _ in range(cap):
         fresh = prepared
         if position is not None:
@@ -154,6 +163,7 @@ def accept_in_order(
         if batch.isEmpty():
             break
         chosen = settle(_accept_batch(batch, accepted, keys, cap), "accepted")
+        fresh_ones.append(chosen)
         accepted = chosen if accepted is None else settle(accepted.unionByName(chosen), "accepted")
         have = accepted.groupBy(*keys).agg(F.count(F.lit(1)).alias("have"))
         seen = batch.groupBy(*keys).agg(F.max("seq").alias("last_seq"), F.count(F.lit(1)).alias("taken"))
@@ -167,9 +177,15 @@ def accept_in_order(
         )
         if position.isEmpty():
             break
-    if accepted is None:
-        return candidates.select(*keys, "seq", "message").limit(0)
-    return accepted
+    if not fresh_ones:
+        return candidates.select(*columns).limit(0)
+    return reduce(DataFrame.unionByName, fresh_ones)
+
+
+def _without_keys(rows: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys the state lacks, null equal to null."""
+    other = state.select(*[F.col(k).alias(f"state_{k}") for k in keys])
+    return rows.join(other, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"state_{k}")) for k in keys]), "left_anti")
 
 
 def _with_state(rows: DataFrame, state: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

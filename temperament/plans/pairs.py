@@ -14,11 +14,12 @@ from temperament.operators.filters import (
     finished_pairs,
     within_pair_limit,
 )
-from temperament.operators.joins import unmatched
-from temperament.schemas import ANSWERS, PAIRS
+from temperament.operators.joins import with_small
+from temperament.schemas import ANSWERS
 from temperament.session import settle
-from temperament.sources.files import path_exists, read_tree, write_lines
+from temperament.sources.files import read_tree, write_lines
 from temperament.sources.manifest import require_keys
+from temperament.sources.records import due_keys, listed_keys, write_finished
 
 TEACHER_NAME = "ChatGLM"
 
@@ -97,20 +98,21 @@ def all_pairs(
 def build_pairs(spark: SparkSession, source: str, target: str, teacher: str, runs: DataFrame) -> DataFrame:
     """Build the pairs of all ``runs`` (model, constitution) from the stored answers and add them to the stored pairs.
 
-    Answers lie below ``source`` by constitution and producer, pairs below ``target`` by model and constitution. Runs whose pairs
-    are there already are skipped; an answer file that is missing for one of the others fails the build. Returns the runs that were built.
+    Answers lie below ``source`` by constitution and producer, pairs below ``target`` by model and constitution. Runs that the record
+    of ``target`` names are skipped, also those that gave no pair; what a stopped build has left of the others is replaced. An
+    answer file that is missing for one of them fails the build. Only the answers of these runs are read. Returns the runs that were built.
     """
-    answers = read_tree(spark, source, ANSWERS)
-    done = spark.createDataFrame([], "model string, constitution string")
-    if path_exists(spark, target):
-        done = read_tree(spark, target, PAIRS).select("model", "constitution").distinct()
-    due = settle(unmatched(runs.select("model", "constitution").distinct(), done, ["model", "constitution"]), "runs-due")
-    present = answers.select("constitution", "producer").distinct()
+    keys = ["model", "constitution"]
+    due = due_keys(spark, target, runs, keys)
+    if due.isEmpty():
+        return due
+    present = listed_keys(spark, source, ["constitution", "producer"])
     needed = due.select("constitution", F.explode(F.array("model", F.lit(teacher))).alias("producer")).distinct()
+    needed = settle(needed, "answers-needed")
     require_keys(needed, present, ["constitution", "producer"])
-    wanted = answers.join(needed, ["constitution", "producer"], "left_semi")
-    pairs = all_pairs(wanted, teacher).join(due, ["model", "constitution"], "left_semi")
-    write_lines(pairs.select("chosen", "rejected", "model", "constitution"), target, "model", "constitution", mode="append")
+    wanted = with_small(read_tree(spark, source, ANSWERS), needed, ["constitution", "producer"], "left_semi")
+    pairs = with_small(all_pairs(wanted, teacher), due, keys, "left_semi").select("chosen", "rejected", *keys)
+    write_finished(pairs, target, due, keys, lambda rows: write_lines(rows, target, *keys, mode="append"))
     return due
 
 

@@ -66,10 +66,14 @@ def accepted_questions(
     text: str = "response",
     order: str = "round",
     cap: int = QUESTIONS_PER_TRAIT,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
-    """Generated questions that are well formed and unlike a trait's earlier ones, up to a cap."""
+    """Generated questions that are well formed and unlike a trait's earlier ones, up to a cap.
+
+    ``earlier`` (keys, seq, message) holds what earlier rounds have accepted; only new ones are returned.
+    """
     listed = listed_questions(generated.select(*keys, text, order), text, order)
-    return accept_in_order(listed.select(*keys, "seq", "message"), seeds, keys, cap=cap)
+    return accept_in_order(listed.select(*keys, "seq", "message"), seeds, keys, cap=cap, earlier=earlier)
 
 
 def question_rows(constitutions: DataFrame) -> DataFrame:
