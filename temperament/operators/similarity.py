@@ -19,6 +19,9 @@ from temperament.operators.joins import with_small
 from temperament.session import settle
 
 ROUND_SIZE = 256
+# log of the most longs in a bitmap of the pool's words, and pool messages per part of a word's list
+FILTER_LONGS = 17
+SPLIT_HOLDERS = 10_000
 
 
 def _word_hashes(text: str) -> Column:
@@ -39,17 +42,39 @@ def _message_ids(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
 IDS = ["new_id_1", "new_id_2"]
 
 
+def _with_known(rows: DataFrame, holders: DataFrame) -> DataFrame:
+    """Add ``known``: the words of ``hashes`` whose bit is set in a bitmap of the pool's words; others are not in the pool.
+
+    Its size follows the number of words up to ``FILTER_LONGS``; beyond that, or by chance, more words pass. It only saves work.
+    """
+    words_held = holders.select("word").distinct()
+    longs = 1 << min(FILTER_LONGS, max(6, (words_held.count() // 4).bit_length()))  # some 16 bits per word
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("word").bitwiseAND(63).cast("int"))
+    slot = F.shiftrightunsigned("word", 6).bitwiseAND(F.lit(longs - 1).cast("long"))
+    slots = words_held.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits"))
+    every = words_held.sparkSession.range(longs).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("bits"))
+    filled = slots.union(every).groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    bitmap = filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("slot", "bits"))), lambda s: s["bits"])).scalar()
+
+    def may_be_held(word: Column) -> Column:
+        at = F.shiftrightunsigned(word, 6).bitwiseAND(F.lit(longs - 1).cast("long")) + 1
+        return F.getbit(F.element_at("bitmap", at.cast("int")), word.bitwiseAND(63).cast("int")) == 1
+
+    # the bitmap is a constant of the plan, not a value that rows carry along
+    return rows.withColumn("bitmap", bitmap).select(*rows.columns, F.filter("hashes", may_be_held).alias("known"))
+
+
 def similar_keys(
     new: DataFrame, pool: DataFrame, new_text: str, pool_text: str, keys: list[str] | None = None
 ) -> DataFrame:
     """Ids of the messages of ``new`` that are too similar to something in a pool of any size.
 
-    Words are compared by 64-bit hashes, and neither texts nor word lists are shuffled. Only words that the pool
-    holds can matter; the others are gone before the first shuffle when the pool's words fit a broadcast. Messages
-    with the same such words (and the same length) are looked up as one. To pass half of its words, a message must
-    share a word outside its most common ones. Its words are sorted from rare to common in the pool, and the common end
-    that makes up at most half of the message stays out of the join. Each candidate the rarer words find is then
-    checked in full.
+    Words are compared by 64-bit hashes, and texts are never shuffled. More than half of a message's words must be
+    among the pool's: that is tested in place by a bitmap of the pool's words, before anything is exploded or shuffled. What is left is looked
+    up once per distinct list of known words. To pass half of its words, a message must share a word outside its
+    most common ones: its words are sorted from rare to common in the pool, and the common end that makes up at most half of the
+    message stays out of the join. A word that outweighs half of the message by itself settles it. Else a pool message must have enough words, and each
+    candidate that is left is checked in full. The list of a word that very many pool messages hold is split over several tasks.
     """
     keys = keys or []
     sets = (
@@ -59,49 +84,55 @@ def similar_keys(
         .withColumn("pool_id", F.struct(F.xxhash64("key", "pool_words"), F.xxhash64(F.lit(1), "key", "pool_words")))
     )
     sets = settle(sets, "similarity-pool")
-    postings = sets.select("key", "pool_id", F.explode("pool_words").alias("word"))
-    holders = postings.groupBy("key", "word").agg(F.count(F.lit(1)).alias("holders"))
-    # a mark per message next to its words: it counts the copies of the message
-    mark = sets.select("key").distinct().select("key", F.lit(None).cast("bigint").alias("word"), F.lit(None).cast("bigint").alias("holders"))
-    listed = holders.unionByName(mark).withColumn("word", F.struct("word"))
-    hashes = F.struct(_word_hashes(new_text).alias("words"))
-    split = computed_once(_message_ids(new, new_text, keys), key=_key(keys), hashes=hashes)
-    occurrences = split.select(
-        "key", *IDS, F.size("hashes.words").alias("length"),
-        F.explode(F.concat("hashes.words", F.array(F.lit(None).cast("bigint")))).alias("word"),
-    )
-    counted = (
-        with_small(occurrences.withColumn("word", F.struct("word")), listed, ["key", "word"])
-        .groupBy("key", *IDS, "length", "word", "holders")
-        .agg(F.count(F.lit(1)).alias("times"))
+    postings = sets.select("key", "pool_id", F.size("pool_words").alias("pool_size"), F.explode("pool_words").alias("word"))
+    holders = settle(postings.groupBy("key", "word").agg(F.count(F.lit(1)).alias("holders")), "similarity-words")
+
+    hashed = computed_once(_message_ids(new, new_text, keys), key=_key(keys), hashes=_word_hashes(new_text)).select("key", *IDS, "hashes")
+    known = computed_once(_with_known(hashed, holders), sorted=F.sort_array("known"), length=F.size("hashes"))
+    known = known.drop("known").withColumnRenamed("sorted", "known")
+    known = known.filter(F.size("known") * 2 > F.col("length")).drop("hashes")
+    profile = F.struct(F.xxhash64("key", "length", "known"), F.xxhash64(F.lit(1), "key", "length", "known"))
+    profiles = settle(known.withColumn("profile", profile), "similarity-profiles")
+
+    # each distinct list of words once, with how often it holds each and how many pool messages of its key do
+    lists = profiles.select("profile", "key", "length", "known").dropDuplicates(["profile"])
+    distinct = F.explode(F.array_distinct("known")).alias("word")
+    times = F.size(F.filter("known", lambda w: w == F.col("word")))
+    found = lists.select("profile", "key", "length", "known", distinct).select("profile", "key", "length", "word", times.alias("times"))
+    found = with_small(found, holders, ["key", "word"])
+    entries = F.sort_array(F.collect_list(F.struct("holders", "word", "times")))  # no longer than the message
+    ordered = found.groupBy("profile", "key", "length").agg(entries.alias("words"), F.sum("times").alias("held"))
+    ordered = settle(ordered.filter(F.col("held") * 2 > F.col("length")), "similarity-lists")
+
+    outweighs = F.exists("words", lambda w: w["times"] * 2 > F.col("length"))
+    settled = ordered.filter(outweighs).select("profile")
+    rest = ordered.filter(~outweighs)
+    spread = F.flatten(F.transform("words", lambda w: F.array_repeat(w["word"], w["times"])))
+    rare_end = F.slice(spread, F.lit(1), (F.col("held") - F.floor(F.col("length") / 2)).cast("int"))
+    # with its heaviest words a pool message needs this many of them at least
+    weights = F.reverse(F.array_sort(F.transform("words", lambda w: w["times"])))
+    step = lambda so_far, n: F.when(
+        so_far["sum"] * 2 > F.col("length"), so_far
+    ).otherwise(F.struct((so_far["sum"] + n).alias("sum"), (so_far["count"] + 1).alias("count")))
+    need = F.aggregate(weights, F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("count")), step, lambda x: x["count"])
+    rest = computed_once(rest, need=need, rare=rare_end)
+    parts = F.ceil(F.col("holders") / SPLIT_HOLDERS).cast("int")
+    prefix = rest.select(
+        "profile", "key", "need", F.explode(F.filter("words", lambda w: F.array_contains("rare", w["word"]))).alias("w")
+    ).select("profile", "key", "need", "w.word", F.col("w.holders").alias("holders"))
+    prefix = prefix.select("profile", "key", "need", "word", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    dealt = postings.join(holders, ["key", "word"]).withColumn("part", F.pmod(F.xxhash64("pool_id"), parts).cast("int")).drop("holders")
+    candidates = prefix.join(dealt, ["key", "word", "part"]).filter(F.col("pool_size") >= F.col("need")).select("profile", "pool_id").distinct()
+    covered = F.aggregate(
+        F.filter("words", lambda w: F.array_contains("pool_words", w["word"])), F.lit(0).cast("long"), lambda n, w: n + w["times"]
     )
-    entry = F.struct("holders", F.col("word.word").alias("word"), "times")
-    copies = F.max(F.when(F.col("word.word").isNull(), F.col("times")))
-    found = F.sort_array(F.collect_list(F.when(F.col("word.word").isNotNull(), entry)))
-    # rare words first, each as often as in one message; an array is no longer than its message
-    known = F.flatten(F.transform("found", lambda k: F.array_repeat(k["word"], (k["times"] / F.col("copies")).cast("int"))))
-    profiles = (
-        counted.groupBy("key", *IDS, "length")
-        .agg(found.alias("found"), copies.alias("copies"))
-        .withColumn("known", known)
-        .filter(F.size("known") * 2 > F.col("length"))
-        .withColumn("profile", F.struct(F.xxhash64("key", "length", "known"), F.xxhash64(F.lit(1), "key", "length", "known")))
-        .select("key", *IDS, "length", "known", "profile")
-    )
-    profiles = settle(profiles, "similarity-profiles")
-    lists = profiles.drop(*IDS).dropDuplicates(["profile"])
-    rare_end = F.slice("known", F.lit(1), F.size("known") - F.floor(F.col("length") / 2).cast("int"))
-    prefix = lists.select("key", "profile", F.explode(F.array_distinct(rare_end)).alias("word"))
-    candidates = prefix.join(postings, ["key", "word"]).select("profile", "pool_id").distinct()
-    held = F.size(F.filter("known", lambda word: F.array_contains("pool_words", word)))
-    hits = (
-        candidates.join(lists.select("profile", "length", "known"), "profile")
+    checked = (
+        candidates.join(rest.select("profile", "length", "words"), "profile")
         .join(sets.select("pool_id", "pool_words"), "pool_id")
-        .filter(held * 2 > F.col("length"))
+        .filter(covered * 2 > F.col("length"))
         .select("profile")
-        .distinct()
     )
-    return profiles.join(hits, "profile", "left_semi").select(*IDS)
+    return profiles.join(settled.unionByName(checked).distinct(), "profile", "left_semi").select(*IDS)
 
 
 def novel(

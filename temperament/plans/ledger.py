@@ -24,14 +24,31 @@ ENTRY = "array<struct<role:string,content:string,tokens:int>>"
 
 
 def _entries(messages: Column, limit: int) -> Column:
-    """Opening messages with their tokens, not counting what the template adds."""
-    return F.transform(messages, lambda m: _entry(m["role"], m["content"], limit)).cast(ENTRY)
+    """Messages with their tokens, not counting what the template adds, and the text that a cut can reach.
 
+    More than ``limit`` tokens are all the same to a cut, so of a long text only its end is taken apart: some letters
+    per token, and the whole of it if these do not hold enough. A first token that is cut in two there is not used.
+    """
+    letters = 16 * limit + 64
+    empty = F.lit("")
+
+    def apart(m: Column) -> Column:
+        content = F.coalesce(m["content"], empty)
+        end = F.when(F.length(content) > letters, F.right(content, F.lit(letters))).otherwise(content)
+        return F.struct(m["role"].alias("role"), m["content"].alias("content"), end.alias("end"), token_count(end).alias("held"))
+
+    def sized(x: Column) -> Column:
+        whole = F.length(F.coalesce(x["content"], empty)) <= letters
+        count = F.when(whole | (x["held"] > limit + 1), x["held"]).otherwise(token_count(x["content"]))
+        return F.struct(x["role"].alias("role"), x["content"].alias("content"), x["end"].alias("end"), x["held"].alias("held"), count.alias("tokens"))
+
+    def cut(x: Column) -> Column:
+        text = F.when(x["held"] > limit + 1, x["end"]).otherwise(x["content"])
+        kept = F.when(x["tokens"] > limit, last_tokens(text, F.lit(limit))).otherwise(x["content"])
+        return F.struct(x["role"].alias("role"), kept.alias("content"), x["tokens"].cast("int").alias("tokens"))
 
-def _entry(role: Column, content: Column, limit: int) -> Column:
-    tokens = token_count(F.coalesce(content, F.lit("")))
-    kept = F.when(tokens > limit, last_tokens(content, F.lit(limit))).otherwise(content)
-    return F.struct(role.alias("role"), kept.alias("content"), tokens.cast("int").alias("tokens"))
+    # one step after another, so that no text is taken apart twice
+    return F.transform(F.transform(F.transform(messages, apart), sized), cut).cast(ENTRY)
 
 
 def _overhead(template: ChatTemplate, role: Column) -> Column:
@@ -88,10 +105,14 @@ def _without_old(tail: Column, limit: int, template: ChatTemplate) -> Column:
 
 def opened(openings: DataFrame, limit: int, carried: list[str]) -> DataFrame:
     """The ledger before the first turn: head_1, head_2 (the sides' opening messages), tail (replies), complete."""
-    return openings.select(
-        "dialogue", *carried, _entries(F.col("messages_1"), limit).alias("head_1"), _entries(F.col("messages_2"), limit).alias("head_2"),
-        F.array().cast(ENTRY).alias("tail"), F.lit(True).alias("complete"),
-    )
+    one, two = F.col("messages_1"), F.col("messages_2")
+    rows = computed_once(openings.select("dialogue", *carried, one, two), head_1=_entries(one, limit))
+    # both sides mostly have the same system prompt
+    shared = F.get(one, F.lit(0)).eqNullSafe(F.get(two, F.lit(0))) & (F.size(one) > 0)
+    later = F.slice(two, F.lit(2), F.greatest(F.size(two) - 1, F.lit(0)))
+    head_2 = F.when(shared, F.concat(F.slice("head_1", 1, 1), _entries(later, limit))).otherwise(_entries(two, limit))
+    rows = computed_once(rows, head_2=head_2)
+    return rows.select("dialogue", *carried, "head_1", "head_2", F.array().cast(ENTRY).alias("tail"), F.lit(True).alias("complete"))
 
 
 def prompted(ledger: DataFrame, turn: int, limit: int, template: ChatTemplate) -> DataFrame:
@@ -113,8 +134,9 @@ def turned(ledger: DataFrame, load, turn: int, limit: int, template: ChatTemplat
     said = with_batch_text(asked, "rendered", load, "said").drop("rendered")
     reply = without_reasoning(F.col("said")) if reasoning else strip(F.col("said"))
     said = computed_once(said, reply=reply).drop("said")
-    said = computed_once(said, entry=_entry(F.lit("reply"), F.col("reply"), limit))
-    grown = F.concat(F.col("tail"), F.array("entry").cast(ENTRY))
+    message = F.array(F.struct(F.lit("reply").alias("role"), F.col("reply").alias("content")))
+    said = computed_once(said, entry=_entries(message, limit))
+    grown = F.concat(F.col("tail"), F.col("entry"))
     after = computed_once(said, grown=grown, fresh=_without_old(grown, limit, template))
     # once the replies fill the limit, or one has been dropped, the openings are out of reach
     filled = F.aggregate("fresh", F.lit(0), lambda so_far, m: so_far + m["tokens"] + _least_overhead(template)) >= limit
@@ -131,9 +153,11 @@ def dialogues(
     """``turns`` replies in every dialogue of the openings, which get ``conversation`` and ``messages``."""
     if not turns:
         return openings
-    # written with a number per dialogue, which stays whatever is computed again
-    started = settle(openings.withColumn("dialogue", F.monotonically_increasing_id()), "dialogue-openings")
-    ledger = opened(started, limit, ["traits"] if reasoning else [])
+    # a reply costs far more than the bytes of its row tell, so rows are dealt evenly to all tasks; written with a number per
+    # dialogue, which stays whatever is computed again
+    tasks = int(openings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    started = settle(openings.repartition(tasks).withColumn("dialogue", F.monotonically_increasing_id()), "dialogue-openings")
+    ledger = settle(opened(started, limit, ["traits"] if reasoning else []), "dialogue-ledger")
     said = []
     for turn in range(turns):
         ledger = settle(turned(ledger, load, turn, limit, template, reasoning), f"dialogue-turn-{turn + 1}")
