@@ -8,7 +8,9 @@ so that they are read without any token.
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +39,39 @@ def _encoder(text: str, name: bytes):
     key = "tokenizer-" + name.hex()
     tokenizer = worker_memo().get(key)
     if tokenizer is None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = Tokenizer.from_str(text)
         tokenizer.no_truncation()
         tokenizer.no_padding()
         worker_memo()[key] = tokenizer
+    apart = tokenizer.encode("\n", add_special_tokens=False).ids
 
-    def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def one_by_one(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
+    def as_lines(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of letters as lines of one text: the library splits at the line ends, whose token is in no word."""
+        if len(apart) == 1 and words:
+            [lines] = tokenizer.encode_batch_fast(["\n" + "\n".join(words) + "\n"], add_special_tokens=False)
+            ids = np.array(lines.ids, np.int32)
+            ends = np.flatnonzero(ids == apart[0])
+            sizes = np.diff(ends) - 1
+            if len(sizes) == len(words) and sizes.min() > 0 and ends[0] == 0 and ends[-1] == len(ids) - 1:
+                return ids[ids != apart[0]], sizes
+        return one_by_one(words)
+
+    def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((w[w[0] == " " :].isalpha() and max(w) < "\u0250" for w in words), bool, len(words))
+        places = np.append(np.flatnonzero(plain), np.flatnonzero(~plain))
+        flats, sizes = zip(as_lines([words[i] for i in np.flatnonzero(plain)]), one_by_one([words[i] for i in np.flatnonzero(~plain)]))
+        flat, found = np.concatenate(flats), np.concatenate(sizes)
+        begins = np.cumsum(found) - found
+        order = np.argsort(places)
+        found = found[order]
+        moved = np.repeat(begins[order] - (np.cumsum(found) - found), found)
+        return flat[moved + np.arange(len(flat))], found
 
     special = {str(t): i for i, t in tokenizer.get_added_tokens_decoder().items()}
     special = {tokenizer.id_to_token(i): i for i in special.values()}
