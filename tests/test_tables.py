@@ -116,3 +116,14 @@ def test_plain_merge_keeps_every_pair(spark):
     plain = one.withColumnRenamed("response", "response_1").join(two.withColumnRenamed("response", "response_2"), "question")
     merged = joins.merged_answers(one, two, ["question"]).select(plain.columns)
     assert sorted(map(str, merged.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_shuffle_is_dealt_by_its_digits(spark):
+    rows = spark.range(1000).withColumn("text", F.lit("x"))
+    mixed = sampling.shuffled(rows, 3, "id")
+    got = [(r["shuffle_key"], r["id"]) for r in mixed.collect()]
+    assert got == sorted(got) and len({i for _, i in got}) == 1000
+    assert [i for _, i in got] != sorted(i for _, i in got)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert len({r[0] for r in mixed.select(F.spark_partition_id()).distinct().collect()}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
