@@ -45,6 +45,16 @@ def _(spark, folder):
     )
 
 
+@query(
+    "J1_merged_answers",
+    f"""WITH {DUEL} SELECT a.pair, a.question, md5(a.response) AS one, md5(b.response) AS two
+    FROM one a JOIN two b ON a.pair = b.pair AND a.question = b.question""",
+)
+def _(spark, folder):
+    merged = joins.merged_answers(*duelling(spark, folder), ["pair", "question"])
+    return merged.select("pair", "question", F.md5("response_1").alias("one"), F.md5("response_2").alias("two"))
+
+
 @query(
     "J3_S5_attached_results",
     "SELECT d.doc_id, d.source, l.quality, l.toxic FROM documents d JOIN labels l ON l.doc_id = d.doc_id",

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from temperament.session import settle
 
 BROADCAST_BYTES = 32 << 20
+#: Distinct answers of one side to one question that meet the other side in one block.
+BLOCK_ANSWERS = 1024
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -61,30 +63,59 @@ def attach(rows: DataFrame, results: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(results, key, "inner")
 
 
-def same_question(one: DataFrame, two: DataFrame, keys: list[str]) -> DataFrame:
+def same_question(one: DataFrame, two: DataFrame, keys: list[str], block: int = BLOCK_ANSWERS) -> DataFrame:
     """Answers of two methods to the same question.
 
     Each side is first reduced to its distinct answers with a count, so copies of one answer never
     multiply in the join. ``copies`` is the number of plain join rows an output row stands for;
     weight by it to get the same statistics.
-    """
 
-    def counted(answers: DataFrame, side: int) -> DataFrame:
-        # grouped by hash and length; one copy of the text goes along
-        text = F.col("response")
-        mark = (F.sha2(text, 256).alias("mark"), F.length(text).alias("size"))
-        grouped = answers.groupBy(*keys, *mark).agg(
-            F.first("response").alias(f"response_{side}"), F.count(F.lit(1)).alias(f"copies_{side}")
-        )
-        return grouped.drop("mark", "size")
-
-    left, right = counted(one, 1), counted(two, 2)
-    joined = left.join(right, keys, "inner")
+    A question with more than about ``block`` distinct answers on a side is cut on that side, and the pieces of both sides
+    meet pairwise: a block joins about ``block`` by ``block`` answers, and the blocks of one question are spread over all tasks.
+    A null key has no partner.
+    """
+    one, two = one.dropna(subset=keys), two.dropna(subset=keys)
+    left, right = _distinct_answers(one, keys, 1), _distinct_answers(two, keys, 2)
+    # the estimate decides only where a question is cut
+    cuts = settle(_cuts(one, keys, 1, block).join(_cuts(two, keys, 2, block), keys, "full_outer"), "hot-questions")
+    on = list(keys)
+    if not cuts.isEmpty():
+        cuts = F.broadcast(cuts) if fits_broadcast(cuts) else cuts.hint("merge")
+        left, right = _in_blocks(left, cuts, keys, 1), _in_blocks(right, cuts, keys, 2)
+        on += ["block_1", "block_2"]
+    joined = left.join(right, on, "inner").drop("block_1", "block_2")
     return joined.withColumn("copies", F.col("copies_1") * F.col("copies_2")).drop(
         "copies_1", "copies_2"
     )
 
 
+def _distinct_answers(answers: DataFrame, keys: list[str], side: int) -> DataFrame:
+    """Distinct answers per question with their count, grouped by hash and length; one copy of the text goes along."""
+    text = F.col("response")
+    mark = (F.sha2(text, 256).alias("mark"), F.length(text).alias("size"))
+    grouped = answers.groupBy(*keys, *mark).agg(
+        F.first("response").alias(f"response_{side}"), F.count(F.lit(1)).alias(f"copies_{side}")
+    )
+    return grouped.drop("mark", "size")
+
+
+def _cuts(answers: DataFrame, keys: list[str], side: int, block: int) -> DataFrame:
+    """The questions with more than a block of distinct answers, and the number of pieces to cut them into."""
+    counted = answers.groupBy(*keys).agg(F.approx_count_distinct("response").alias("answers"))
+    pieces = F.ceil(F.col("answers") / block).cast("int").alias(f"pieces_{side}")
+    return counted.filter(F.col("answers") > block).select(*keys, pieces)
+
+
+def _in_blocks(answers: DataFrame, cuts: DataFrame, keys: list[str], side: int) -> DataFrame:
+    """Every answer in its own piece, once per piece of the other side."""
+    other = 3 - side
+    pieces = {n: F.coalesce(f"pieces_{n}", F.lit(1)) for n in (1, 2)}
+    own = F.pmod(F.xxhash64(f"response_{side}"), pieces[side]).cast("int")
+    rows = answers.join(cuts, keys, "left").withColumn(f"block_{side}", own)
+    rows = rows.withColumn(f"block_{other}", F.explode(F.sequence(F.lit(0), pieces[other] - 1)))
+    return rows.drop("pieces_1", "pieces_2")
+
+
 def merged_answers(one: DataFrame, two: DataFrame, keys: list[str]) -> DataFrame:
     """The plain merge: one row per pair of answers to the same question, repeats included.
 

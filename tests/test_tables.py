@@ -127,3 +127,33 @@ def test_shuffle_is_dealt_by_its_digits(spark):
     plan = mixed._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan
     assert len({r[0] for r in mixed.select(F.spark_partition_id()).distinct().collect()}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_blocks_of_a_hot_question_lose_no_pair(spark, block):
+    def side(column, answers):
+        hot = [("hot", f"{column}{i % answers}") for i in range(2 * answers)]
+        return hot + [("one", f"{column}{i}") for i in range(1 if column == "a" else 40)] + [("null", None), ("only " + column, "x"), (None, "x")]
+
+    one, two = (spark.createDataFrame(side(*args), "question string, response string") for args in (("a", 50), ("b", 23)))
+    plain = one.withColumnRenamed("response", "response_1").join(two.withColumnRenamed("response", "response_2"), "question")
+    want = plain.groupBy("question", "response_1", "response_2").count()
+    got = joins.same_question(one, two, ["question"], block)
+    assert got.columns == ["question", "response_1", "response_2", "copies"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_a_hot_question_is_spread_over_all_tasks(spark):
+    answers = spark.range(2000).select(F.lit("hot").alias("question"), F.concat(F.lit("answer "), "id").alias("response"))
+    set_for_now = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in set_for_now}
+    try:
+        for name, value in set_for_now.items():
+            spark.conf.set(name, value)
+        pairs = joins.same_question(answers, answers, ["question"], 100)
+        loads = sorted(r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(loads) == 2000 * 2000
+    assert len(loads) == int(spark.conf.get("spark.sql.shuffle.partitions")) and loads[-1] < 2 * loads[len(loads) // 2]
