@@ -10,7 +10,7 @@ from temperament.functions.labels import argmax
 from temperament.operators import metrics
 from temperament.operators.classify import classify, fit_classifier, training_rows
 from temperament.operators.traits import unfinished_traits
-from temperament.plans.reports import method_comparison, win_rate_summary
+from temperament.plans.reports import ablation_scores, method_comparison, win_rate_summary
 
 
 @query(
@@ -219,6 +219,29 @@ def _(spark, folder):
     return table_.withColumn("mean", F.round("mean", 6)).withColumn("sem", F.round("sem", 6))
 
 
+@query(
+    "B18_ablation_table",
+    f"""WITH {PREDICTIONS}, {LABEL_SCORES.format(keys='method, variant,', rows='predictions')},
+    cells AS (SELECT method, variant, avg(f1) AS score FROM scores WHERE variant <> 'default' GROUP BY ALL),
+    used AS (SELECT 'without-' || method AS method, score / 2 AS score FROM cells WHERE method <> 'trained'
+      UNION ALL SELECT method, score FROM cells WHERE method IN ('trained', 'steered')),
+    stats AS (SELECT method, avg(score) AS mean, stddev_samp(score) / sqrt(count(*)) AS sem FROM used GROUP BY 1)
+    SELECT place::int AS place, m.method, m.method AS label, round(coalesce(mean, 0), 6) AS mean,
+      round(coalesce(sem, 0), 6) AS sem
+    FROM (VALUES (0, 'without-prompted'), (1, 'without-steered'), (2, 'without-all'), (3, 'trained'), (4, 'steered')) m(place, method)
+    LEFT JOIN stats s ON s.method = m.method""",
+)
+def _(spark, folder):
+    grid = metrics.score_grid(predictions(spark, folder), "truth", "predicted")
+    main = grid.select(F.col("f1").alias("score"), "accuracy", "variant", "method")
+    ablations = main.filter("method <> 'trained'").select(
+        F.concat(F.lit("without-"), "method").alias("method"), "variant", (F.col("score") / 2).alias("score")
+    )
+    used = ablation_scores(ablations, main, ["trained", "steered"])
+    table_ = method_comparison(used, ["without-prompted", "without-steered", "without-all", "trained", "steered"])
+    return table_.withColumn("mean", F.round("mean", 6)).withColumn("sem", F.round("sem", 6))
+
+
 @query(
     "H22_group_of_one",
     """WITH stats AS (SELECT CASE WHEN p_partkey < 9 THEN -p_partkey ELSE p_partkey % 40 END AS k, count(*) AS n, avg(p_size / 50) AS mean,

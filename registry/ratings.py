@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.inputs import COMPARISONS, comparisons, table
 from temperament.operators import metrics, ratings
-from temperament.plans.reports import change_report
+from temperament.plans.reports import change_overview, change_report, rating_densities, run_correlations
 
 ELO = f"""RECURSIVE {COMPARISONS},
 valid AS MATERIALIZED (
@@ -302,3 +302,61 @@ def _(spark, folder):
     games = ratings.valid_comparisons(comparisons(spark, folder))
     report = change_report(ratings.elo_ratings(games, ["run"]), BASE, TUNED, ["run"])
     return report.withColumn("change", F.round("change", 6))
+
+
+# three models before and after, each a run of its own under either condition
+BOTH = ELO.replace("'run' || (e.event_id % 3) AS run", "CASE WHEN e.event_id // 3 % 2 = 0 THEN 'base' ELSE 'tuned' END || '/m' || (e.event_id % 3) AS run")
+BOTH = f"""{BOTH}, both_rated AS (SELECT split_part(run, '/', 1) AS condition, split_part(run, '/', 2) AS run, trait, round(rating, 2) AS rating
+  FROM raw), ratings AS (
+  SELECT *, row_number() OVER (PARTITION BY condition, run ORDER BY rating DESC, trait) AS place FROM both_rated)"""
+
+
+def both_conditions(spark, folder):
+    """Elo ratings of three models under two conditions."""
+    games = ratings.valid_comparisons(comparisons(spark, folder)).drop("run")
+    condition = F.when(F.floor(F.col("seq") / 3) % 2 == 0, F.lit("base")).otherwise(F.lit("tuned"))
+    games = games.withColumn("condition", condition).withColumn("run", F.concat(F.lit("m"), (F.col("seq") % 3).cast("string")))
+    return ratings.elo_ratings(games, ["condition", "run"])
+
+
+@query(
+    "B17_run_correlations",
+    f"""WITH {BOTH}, common AS (SELECT a.condition, a.run AS run_1, b.run AS run_2,
+      row_number() OVER (PARTITION BY a.condition, a.run, b.run ORDER BY a.place) AS x,
+      row_number() OVER (PARTITION BY a.condition, a.run, b.run ORDER BY b.place) AS y
+      FROM ratings a JOIN ratings b ON a.condition = b.condition AND a.trait = b.trait AND a.run < b.run),
+    found AS (SELECT condition, run_1, run_2, corr(x, y) AS rho, count(*) AS traits FROM common GROUP BY ALL)
+    SELECT condition, run_1, run_2, round(rho, 6) AS rho, traits, round(avg(rho) OVER (PARTITION BY condition), 6) AS mean_rho
+    FROM found""",
+)
+def _(spark, folder):
+    found = run_correlations(both_conditions(spark, folder), ["condition"])
+    return found.select("condition", "run_1", "run_2", F.round("rho", 6).alias("rho"), "traits", F.round("mean_rho", 6).alias("mean_rho"))
+
+
+@query(
+    "B17_rating_densities",
+    f"""WITH {BOTH}, span AS (SELECT condition, run, min(rating) AS low, max(rating) AS high, count(*) AS total FROM ratings GROUP BY ALL),
+    shown AS (SELECT min(rating) - 100 AS low, max(rating) + 100 AS high FROM ratings)
+    SELECT r.condition, r.run, least(floor((rating - s.low) / ((s.high - s.low) / 20)) + 1, 20)::int AS bin, count(*) AS n,
+      round(count(*) / (any_value(total) * (any_value(s.high) - any_value(s.low)) / 20), 6) AS density,
+      any_value(shown.low) AS low, any_value(shown.high) AS high
+    FROM ratings r JOIN span s ON s.run = r.run AND s.condition = r.condition, shown GROUP BY 1, 2, 3""",
+)
+def _(spark, folder):
+    found = rating_densities(both_conditions(spark, folder), ["condition", "run"])
+    return found.withColumn("density", F.round("density", 6))
+
+
+@query(
+    "B17_change_overview",
+    f"""WITH {BOTH}, changes AS (SELECT t.run, t.trait, t.rating - b.rating AS change
+      FROM ratings t JOIN ratings b ON b.trait = t.trait AND b.run = t.run WHERE b.condition = 'base' AND t.condition = 'tuned'),
+    moved AS (SELECT run, count(*) AS traits, round(avg(abs(change)), 6) AS mean_size, arg_max(trait, (change, trait)) AS riser,
+      max(change) AS up, arg_min(trait, (change, trait)) AS faller, min(change) AS down FROM changes GROUP BY run)
+    SELECT run, traits, mean_size, riser, CASE WHEN up > 0 THEN '+' ELSE '' END || trunc(up)::bigint AS rise, faller,
+      CASE WHEN down > 0 THEN '+' ELSE '' END || trunc(down)::bigint AS fall FROM moved""",
+)
+def _(spark, folder):
+    overview = change_overview(both_conditions(spark, folder), "condition = 'base'", "condition = 'tuned'", ["run"], ["run"])
+    return overview.withColumn("mean_size", F.round("mean_size", 6))

@@ -277,22 +277,25 @@ def largest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def rank_correlation(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
+def rank_correlation(ratings: DataFrame, pairs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Spearman's rho and its two-sided p-value between pairs of runs, on their common traits.
 
-    ``pairs`` has columns ``run_1`` and ``run_2``; ``ratings`` has ``run``, ``trait`` and ``place``.
+    ``pairs`` has columns ``run_1`` and ``run_2``; ``ratings`` has ``run``, ``trait`` and ``place``. Both have ``keys``
+    (a condition, say), which are the same for the two runs of a pair.
     """
-    one = ratings.select(F.col("run").alias("run_1"), "trait", F.col("place").alias("place_1"))
-    two = ratings.select(F.col("run").alias("run_2"), "trait", F.col("place").alias("place_2"))
-    common = pairs.join(one, "run_1").join(two, ["run_2", "trait"])
-    pair = Window.partitionBy("run_1", "run_2")
+    keys = keys or []
+    one = ratings.select(*keys, F.col("run").alias("run_1"), "trait", F.col("place").alias("place_1"))
+    two = ratings.select(*keys, F.col("run").alias("run_2"), "trait", F.col("place").alias("place_2"))
+    common = pairs.join(one, [*keys, "run_1"]).join(two, [*keys, "run_2", "trait"])
+    pair = Window.partitionBy(*keys, "run_1", "run_2")
     ranks = common.select(
+        *keys,
         "run_1",
         "run_2",
         F.row_number().over(pair.orderBy("place_1")).alias("rank_1"),
         F.row_number().over(pair.orderBy("place_2")).alias("rank_2"),
     )
-    rho = ranks.groupBy("run_1", "run_2").agg(
+    rho = ranks.groupBy(*keys, "run_1", "run_2").agg(
         F.corr(F.col("rank_1").cast("double"), F.col("rank_2").cast("double")).alias("rho"),
         F.count(F.lit(1)).alias("traits"),
     )

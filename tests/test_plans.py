@@ -183,3 +183,27 @@ def test_question_rows_keep_their_order(spark):
     ordered = pool.orderBy("rep", "source", "pos").select(F.collect_list("prompt").alias("p")).first()["p"]
     assert sorted(ordered) == sorted("abcdeabcde")
     assert [r["prompt"] for r in pool.orderBy("rep", "source", "pos").collect()] == list("abcdeabcde")
+
+
+def test_run_correlations_and_changes(spark):
+    rows = [("base", "a", t, r, p) for t, r, p in (("x", 10.0, 1), ("y", 5.0, 2), ("z", 1.0, 3))]
+    rows += [("base", "b", t, r, p) for t, r, p in (("x", 1.0, 3), ("y", 5.0, 2), ("z", 10.0, 1))]
+    rows += [("base", "c", "x", 7.0, 1), ("base", "c", "y", 3.0, 2), ("tuned", "a", "x", 4.0, 2), ("tuned", "a", "y", 9.0, 1)]
+    rated = spark.createDataFrame(rows, "condition string, run string, trait string, rating double, place int")
+    found = {(r["condition"], r["run_1"], r["run_2"]): r for r in reports.run_correlations(rated, ["condition"]).collect()}
+    assert set(found) == {("base", "a", "b"), ("base", "a", "c"), ("base", "b", "c")}
+    assert found["base", "a", "b"]["rho"] == pytest.approx(-1) and found["base", "a", "c"]["traits"] == 2
+    assert all(r["mean_rho"] == pytest.approx(-1 / 3) for r in found.values())
+    alone = reports.run_correlations(rated.filter("condition = 'base'"), []).collect()
+    assert {(r["run_1"], r["run_2"], round(r["rho"], 9)) for r in alone} == {("a", "b", -1.0), ("a", "c", 1.0), ("b", "c", -1.0)}
+    (moved,) = reports.change_overview(rated, "condition = 'base'", "condition = 'tuned'", ["run"], ["run"]).collect()
+    assert tuple(moved) == ("a", 2, 5.0, "y", "+4", "x", "-6")
+    assert {(r["low"], r["high"]) for r in reports.rating_densities(rated, ["condition", "run"]).collect()} == {(-99.0, 110.0)}
+    assert reports.run_correlations(rated.limit(0), ["condition"]).count() == 0
+
+
+def test_ablations_take_rows_of_the_main_scores_by_name(spark):
+    ablations = spark.createDataFrame([("less", "v0", 0.5), ("less", "all", 0.9)], "method string, variant string, score double")
+    main = spark.createDataFrame([(0.7, 1, "v0", "full"), (0.1, 1, "v0", "other")], "score double, extra int, variant string, method string")
+    used = reports.ablation_scores(ablations, main, ["full"])
+    assert sorted(map(tuple, used.collect())) == [("full", "v0", 0.7), ("less", "all", 0.9), ("less", "v0", 0.5)]
