@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from registry import query, sql
 from registry.inputs import ANSWERS, BLOCKS, EXCHANGES, answers, blocks, exchanges, table
-from registry.rows import THOUGHT, flat, numbered_documents, sql_flat, transcripts
+from registry.rows import GENERATED, THOUGHT, flat, numbered_documents, sql_flat, transcripts
 from temperament.fixed_values import (
     CONTRAST_OPENER,
     EXPANSION_INSTRUCTION,
@@ -71,7 +71,31 @@ def _(spark, folder):
     return prompts.select("constitution", "trait", F.col("expansion_prompt").alias("prompt"))
 
 
-@query("B1_H9_accepted_questions")
+def shared(new: str, pool: str) -> str:
+    """Words of one list, repeats counted, that another list has."""
+    return f"len(list_filter({new}, lambda x: list_contains({pool}, x)))"
+
+
+# one step takes the first open candidate of every source, and closes those that are like it
+@query(
+    "B1_H9_accepted_questions",
+    f"""WITH RECURSIVE listed AS (
+      SELECT source, doc_id * 4294967296 + place - 1 AS seq, {sql.numbered_line('line')} AS message
+      FROM (SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
+        FROM (SELECT doc_id, source, string_split({sql.strip(GENERATED)}, chr(10)) AS lines FROM documents))
+      WHERE {sql.numbered_line('line')} <> ''),
+    candidates AS MATERIALIZED (SELECT *, {sql.words('message')} AS w FROM listed),
+    seeds AS MATERIALIZED (SELECT 'src' || (item_id % 20) AS source, list_distinct({sql.words('text')}) AS p FROM benchmark),
+    novel AS MATERIALIZED (SELECT * FROM candidates c WHERE NOT EXISTS (
+      SELECT 1 FROM seeds s WHERE s.source = c.source AND 2 * {shared('c.w', 's.p')} > len(c.w))),
+    remaining AS (
+      SELECT 0 AS n, source, seq, message, w FROM novel
+      UNION ALL
+      SELECT n + 1, source, seq, message, w FROM (
+        SELECT *, min(seq) OVER (PARTITION BY source) AS head, arg_min(w, seq) OVER (PARTITION BY source) AS head_words FROM remaining)
+      WHERE n < 44 AND seq > head AND 2 * {shared('w', 'head_words')} <= len(w))
+    SELECT source, min(seq) AS seq, arg_min(message, seq) AS message FROM remaining GROUP BY source, n""",
+)
 def _(spark, folder):
     """Every line of the numbered documents is a candidate of its source; the benchmark seeds the pools."""
     generated = numbered_documents(spark, folder).withColumn("round", F.col("doc_id"))
