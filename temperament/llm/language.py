@@ -150,8 +150,8 @@ def fit_model(features: list[tuple[np.ndarray, np.ndarray]], labels: list[str],
 def train(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> LanguageModel:
     """A model from about `sample` texts of `docs` (doc_id, text, lang) where `usable` holds and lang is given.
 
-    The sample is spread evenly over the languages and drawn by a hash of doc_id. It is a documented bound: the driver holds the
-    bucket counts of so many texts.
+    The sample is spread evenly over the languages and drawn by a hash of doc_id and text, so rows without an id are drawn one by one;
+    repeated rows count once. It is a documented bound: the driver holds the bucket counts of so many texts.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(usable & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
@@ -160,7 +160,8 @@ def train(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> LanguageMode
         return fit_model([], [])
     quota = max(sample // len(counts), 1)
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, quota / r["count"])))])[F.col("lang")]
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) < share * float(1 << 30)).select("text", "lang")
+    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id", "text"), F.lit(1 << 30)) < share * float(1 << 30))
+    drawn = drawn.groupBy("doc_id", "lang", F.xxhash64("text")).agg(F.first("text").alias("text")).select("text", "lang")
 
     def run(batches):
         for batch in batches:
