@@ -138,8 +138,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     """A model from about `sample` rows of `labels` (doc_id, quality) where `usable` holds, half for each label.
 
     The sample is drawn by a hash of doc_id; it is a documented bound. Labels other than 0 and 1 and labels without a document are left out.
+    Repeated labels of an id are drawn as one. Where an id has many documents, those drawn are thinned by a hash of their text to the same bound.
     """
-    rows = labels.where(usable & F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    rows = labels.where(usable & F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
     counts = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}  # two rows at most
     share = F.lit(0.0)
     for label, count in counts.items():
@@ -147,6 +148,14 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     drawn = rows.where(F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1 << 30)) < share * float(1 << 30))
     drawn = settle(drawn.withColumn("stands_for", F.try_divide(F.lit(1.0), share)), "quality-labels")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(by_size(drawn, 32), "doc_id")
+    # ids without texts are enough to count what would come
+    shares = {r["quality"]: min(1.0, sample / r["count"]) for r in texts.groupBy("quality").count().collect()}  # two rows at most
+    kept = F.lit(0.0)
+    for label, part in shares.items():
+        kept = F.when(F.col("quality") == label, part).otherwise(kept)
+    texts = texts.where(F.pmod(F.xxhash64(F.lit("thinned"), "doc_id", "text"), F.lit(1 << 30)) < kept * float(1 << 30))
+    same = texts.groupBy("doc_id", "quality", F.xxhash64("text").alias("mark"))
+    texts = same.agg(F.first("text").alias("text"), F.sum(F.col("stands_for") / kept).alias("stands_for"))
     got = _featured(texts, ["quality", "stands_for"]).collect()
     got.sort(key=lambda r: (r["quality"], r["features"]))
     found = np.array([r["features"] for r in got]).reshape(-1, FEATURES)
