@@ -40,5 +40,5 @@ def test_stages_on_odd_rows_and_nothing(docs, odd_rows, spark):
 
 
 def test_every_operator_has_its_query():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLES) <= set(QUERIES)
