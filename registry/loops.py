@@ -13,7 +13,7 @@ from registry.inputs import comparisons, table
 from registry.ratings import ELO
 from temperament.fixed_values import EXPANSION_INSTRUCTION, EXPANSION_SYSTEM
 from temperament.plans import expansion
-from temperament.session import scratch_path
+from temperament.session import scratch_path, settle
 from temperament.streaming import answers, elo
 
 EXPANSION_PROMPT = f"""{sql.turn('system', sql.text(EXPANSION_SYSTEM))} || {sql.turn('user', sql.fill(EXPANSION_INSTRUCTION, trait='trait'))} ||
@@ -64,7 +64,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Games arrive in the order of a hash, half of them before a restart."""
     place = F.row_number().over(Window.partitionBy("run").orderBy("seq")) - 1
-    games = comparisons(spark, folder).withColumn("seq", place.cast("bigint")).repartition(4, "winner")
+    games = settle(comparisons(spark, folder).withColumn("seq", place.cast("bigint")), "numbered-games").repartition(4, "winner")
     source, output, checkpoint = (scratch_path(spark, name) for name in ("games", "ratings", "games-checkpoint"))
     for half in (0, 1):
         games.filter(F.pmod(F.xxhash64("run", "seq"), F.lit(2)) == half).write.mode("append").parquet(source)

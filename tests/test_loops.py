@@ -3,6 +3,7 @@
 import random
 import sys
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -201,3 +202,50 @@ def test_generation_goes_on_after_a_failure(spark, tmp_path):
     assert {(r["id"], r["response"]) for r in got.collect()} == {(i, f"P{i}") for i in range(40)} and got.count() == 40
     with open(calls) as log:
         assert sorted(log.read().split()) == sorted(f"p{i}" for i in range(40))  # none twice
+
+
+class Kept:
+    """A value or map of a state in memory, which counts what is asked of it."""
+
+    asked = 0
+
+    def __init__(self):
+        self.values = {}
+
+    def __getattr__(self, name):
+        Kept.asked += 1
+        return {
+            "exists": lambda: () in self.values, "get": lambda: self.values[()], "update": lambda v: self.values.update({(): v}),
+            "containsKey": lambda k: k in self.values, "getValue": lambda k: self.values.get(k),
+            "updateValue": lambda k, v: self.values.update({k: v}), "removeKey": lambda k: self.values.pop(k),
+        }[name]
+
+
+def test_early_games_are_asked_for_by_blocks(monkeypatch):
+    monkeypatch.setattr(elo, "BLOCK", 3000, raising=False)
+    draw = random.Random(3)
+    names = ["a", "b", "c", None]
+    games = [(i, draw.choice(names), draw.choice(names), draw.choice([*names, "unclear"])) for i in range(20_000)]
+    want = {}
+    for _, one, two, winner in games:
+        if winner is not None and one is not None and two is not None and winner in (one, two):
+            a, b = want.setdefault(one, 1000.0), want.setdefault(two, 1000.0)
+            gain = 32 * ((winner == one) - 1 / (1 + 10 ** ((b - a) / 400)))
+            want[one] += gain
+            want[two] -= gain
+    run = elo._Run()
+    run.init(type("Handle", (), {"getValueState": lambda *_: Kept(), "getMapState": lambda *_: Kept()})())
+    Kept.asked = 0
+    late, rows = games[::3], [g for i, g in enumerate(games) if i % 3]
+    draw.shuffle(rows)
+    # games that arrive again with another winner are left out, before and after the first was played
+    again = [(i, one, two, two) for i, one, two, _ in draw.sample(rows[:7000], 500)]
+    got = {}
+    for batch in (rows[:7000], again, rows[7000:], late[:100], late[100:][::-1], again):
+        for out in run.handleInputRows(("r",), iter([pd.DataFrame(batch, columns=["seq", "trait_1", "trait_2", "winner"])]), None):
+            got.update(zip(out["trait"], out["rating"]))
+            after = out["after"].iloc[0]
+    assert after == 20_000 and got.keys() == want.keys()
+    assert got == pytest.approx(want, abs=1e-9)
+    assert Kept.asked < 500  # six per early game if each had a place of its own
+    assert not run.early.values and not run.parts.values
