@@ -1,8 +1,7 @@
 """Personal data by candidates and gradient-boosted trees; DataFrame operations only.
 
 Strict patterns give the base spans. Wider patterns propose candidates that may overlap them: addresses
-written with `at` and `dot`, numbers with other separators, phones without a plus. Boosted trees, trained on a bounded sample in
-which a candidate is positive if it lies on a base span of its kind, score candidates by their format
+written with `at` and `dot`, numbers with other separators, phones without a plus. Boosted trees, trained on all of them, where a candidate is positive if it lies on a base span of its kind, score candidates by their format
 and context; the plus, the `@` and other marks that the strict patterns ask for are no features. Per kind, a
 limit that keeps the precision on held-out candidates selects the spans that are added. Everything is local to a row.
 """
@@ -17,8 +16,8 @@ from pyspark.sql import functions as F
 from temperament.session import settle
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees learn from, about.
-SAMPLE = 4000
+#: Candidates on either side of a split, at least.
+LEAST = 4
 PRECISION = 0.98
 #: Characters of context on either side.
 CONTEXT = 24
@@ -208,16 +207,18 @@ def _tree_sql(node, names: list[str]) -> str:
     )
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> dict[str, tuple[str, float]]:
+def train(docs: DataFrame, sample: int | None = None, seed: int = 5) -> dict[str, tuple[str, float]]:
     """Per kind the boosted score as SQL over a candidate `x`, and the limit it has to reach.
 
-    Learns from the candidates of about `sample` documents (a documented bound), drawn by a hash of the text among those with a digit or an `at`;
-    a third of them stays aside for the limits. A kind without candidates of both sorts adds no spans.
+    Learns from the candidates of all documents; those of a third of the texts stay aside for the limits. Candidates that agree in all features
+    count together, as one row with a weight. With `sample`, learns from about so many documents, drawn by a hash of the text among those with
+    digits or an `@`. A kind without candidates of both sorts adds no spans.
     """
     hinted = docs.select(F.coalesce("text", F.lit("")).alias("text")).where(F.col("text").rlike(r"[0-9]{2}|@"))
-    total = hinted.count()
     draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30))
-    drawn = hinted.where(draw < int(min(1.0, sample / max(total, 1)) * (1 << 30))).withColumn("aside", draw % 3 == 0)
+    drawn = hinted.withColumn("aside", draw % 3 == 0)
+    if sample is not None:
+        drawn = drawn.where(draw < int(min(1.0, sample / max(hinted.count(), 1)) * (1 << 30)))
     spans = candidates(base_spans(drawn))
     parts = []
     for kind in KINDS:
@@ -228,20 +229,25 @@ def train(docs: DataFrame, sample: int = SAMPLE, seed: int = 5) -> dict[str, tup
     for part in parts[1:]:
         rows = rows.unionByName(part)
     names = rows.select("x.f.*").columns
-    rows = settle(rows.select("kind", "aside", "x", "label", *[F.col(f"x.f.{n}").alias(n) for n in names]), "personal-candidates")
-    seen = {(r["kind"], r["aside"], r["label"]) for r in rows.groupBy("kind", "aside", "label").count().collect()}
+    rows = rows.select("kind", "aside", "label", *[F.col(f"x.f.{n}").alias(n) for n in names])
+    rows = settle(rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias("n")), "personal-candidates")
+    seen = {(r["kind"], r["aside"], r["label"]): r["n"] for r in rows.groupBy("kind", "aside", "label").agg(F.sum("n").alias("n")).collect()}
     models = {}
     for kind in KINDS:
         if not all((kind, False, label) in seen for label in (0, 1)):
             continue
         own = rows.where((F.col("kind") == kind) & ~F.col("aside"))
         vectors = VectorAssembler(inputCols=names, outputCol="features").transform(own)
-        fitted = GBTClassifier(maxIter=10, maxDepth=3, stepSize=0.3, seed=seed, minInstancesPerNode=4).fit(vectors.select("features", "label"))
+        # the share of all weights that makes up `LEAST` candidates
+        least = min((LEAST - 0.5) / (seen[kind, False, 0] + seen[kind, False, 1]), 0.49)
+        trees = GBTClassifier(maxIter=10, maxDepth=3, stepSize=0.3, seed=seed, weightCol="n", minWeightFractionPerNode=least)
+        fitted = trees.fit(vectors.select("features", "label", "n"))
         trees = [_tree_sql(tree._call_java("rootNode"), names) for tree in fitted.trees]
         score = " + ".join(f"{float(w)!r}D * ({t})" for w, t in zip(fitted.treeWeights, trees))
         # scores in steps of a thousandth: the trees bound their sum, and so the number of steps, whatever the sample
-        held = rows.where((F.col("kind") == kind) & F.col("aside")).select((F.floor(F.expr(score) * 1000) / 1000).alias("score"), "label")
-        steps = held.groupBy("score").agg(F.sum("label").alias("right"), F.count("*").alias("n")).orderBy(F.desc("score")).collect()
+        held = rows.where((F.col("kind") == kind) & F.col("aside")).withColumn("x", F.struct(F.struct(*names).alias("f")))
+        held = held.select((F.floor(F.expr(score) * 1000) / 1000).alias("score"), "label", "n")
+        steps = held.groupBy("score").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).orderBy(F.desc("score")).collect()
         right = count = 0
         limit = None
         for step in steps:

@@ -87,6 +87,15 @@ def test_trees_add_spans_and_keep_the_base(docs, corpus):
     assert redacted[1] == "call [PHONE] soon, or [PHONE] later" and redacted[2] == rows[1][1] and redacted[3] == ""
 
 
+def test_learns_from_all_documents(docs, corpus):
+    rows = docs([(i, t, "en", "a") for i, t, *_ in corpus]).select("text")
+    draw = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 30)) / (1 << 30)
+    upper = [(i, r["text"], "en", "a") for i, r in enumerate(rows.where(draw > 0.5).collect())]  # what no sample of half of them has
+    rest = [(10_000 + i, f"mail p{i}@mail.example.com soon", "en", "a") for i in range(9000)]
+    assert 200 < len(upper) < 1600
+    assert "phone" in personal.train(docs(upper + rest))
+
+
 def test_nothing_to_learn_from(docs):
     assert personal.train(docs([(1, "no data", "en", "a"), (2, None, None, None)])) == {}
 
