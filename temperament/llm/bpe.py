@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from temperament.llm.scratch import Shipped, small_batches
+from temperament.llm.scratch import Shipped, releasing, small_batches
 from temperament.llm.subwords import encode_texts, word_memory
 
 NO_RANK = np.iinfo(np.int32).max
@@ -118,7 +118,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             flat = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, flat)], names=[*batch.schema.names, "ids"])
 
-    return docs.mapInArrow(run, docs.withColumn("ids", F.lit(None).cast("array<int>")).schema)
+    return docs.mapInArrow(releasing(run), docs.withColumn("ids", F.lit(None).cast("array<int>")).schema)
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -131,7 +131,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
             texts = [tables.value.decode(np.array(ids or [], np.int32)) for ids in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"])
 
-    return tokens.mapInArrow(run, tokens.withColumn("text", F.lit(None).cast("string")).schema)
+    return tokens.mapInArrow(releasing(run), tokens.withColumn("text", F.lit(None).cast("string")).schema)
 
 
 def encode_checked(docs: DataFrame, path: str) -> DataFrame:
@@ -159,7 +159,7 @@ def encode_checked(docs: DataFrame, path: str) -> DataFrame:
 
     made = {"n_tokens": "bigint", "ids": "array<int>", "restored": "boolean"}
     schema = docs.drop("text").withColumns({name: F.lit(None).cast(kind) for name, kind in made.items()}).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -185,4 +185,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             )
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.mapInArrow(releasing(run), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -26,6 +26,8 @@ STORE = {
     # all stores of an executor share one bound on their buffers and caches; the rest is on disk
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    # stores are closed when their task ends; otherwise executors keep them open, outside the heap, long after the stream
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 

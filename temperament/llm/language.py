@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from temperament.llm.arrays import grouped_pieces
-from temperament.llm.scratch import Shipped, small_batches
+from temperament.llm.scratch import Shipped, release_memory, releasing, small_batches
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -175,10 +175,13 @@ def train(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> LanguageMode
                 names=["lang", "buckets", "counts"],
             )
 
-    got = drawn.mapInArrow(run, "lang string, buckets binary, counts binary").collect()
+    got = drawn.mapInArrow(releasing(run), "lang string, buckets binary, counts binary").collect()
     got.sort(key=lambda r: (r["lang"], bytes(r["buckets"]), bytes(r["counts"])))
     features = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in got]
-    return fit_model(features, [r["lang"] for r in got])
+    model = fit_model(features, [r["lang"] for r in got])
+    del got, features
+    release_memory()  # on the driver
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -198,4 +201,4 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "lang_pred", "score", "accepted"])
 
     made = {"lang_pred": F.lit(None).cast("string"), "score": F.lit(None).cast("double"), "accepted": F.lit(None).cast("boolean")}
-    return docs.mapInArrow(run, docs.withColumns(made).schema)
+    return docs.mapInArrow(releasing(run), docs.withColumns(made).schema)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from temperament.llm.arrays import set_digest, shingle_set, word_hashes
 from temperament.llm.components import components
-from temperament.llm.scratch import by_size, small_batches
+from temperament.llm.scratch import by_size, releasing, small_batches
 from temperament.session import settle
 
 SKETCH = 64
@@ -210,7 +210,7 @@ def _sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, step: str) ->
     """(class, hashes): the full sets of the wanted classes, made from their whole texts again."""
     ids = settle(classes.join(wanted.select("class").distinct(), "class", "left_semi").select("doc_id"), f"near-{step}-ids")
     texts = docs.join(by_size(ids, 16), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    sets = texts.select("text").mapInArrow(_full_sets, "class binary, hashes binary")
+    sets = texts.select("text").mapInArrow(releasing(_full_sets), "class binary, hashes binary")
     return settle(sets.where("class is not null").dropDuplicates(["class"]), f"near-{step}-sets")
 
 
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marks = settle(docs.mapInArrow(_sketches, SET_FIELDS), "near-marks")
+    marks = settle(docs.mapInArrow(releasing(_sketches), SET_FIELDS), "near-marks")
     classes = marks.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles")
     )
@@ -250,10 +250,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     centres = lists.groupBy("value").agg(centre.alias("centre"), F.count("*").alias("members")).where("members > 1")
     pairs = lists.join(centres, "value").where(F.col("class") != F.col("centre"))
     pairs = pairs.select(F.least("class", "centre").alias("one"), F.greatest("class", "centre").alias("two")).distinct()
-    pairs = _with_sides(pairs, classes, "sketch").mapInArrow(_estimated, "one binary, two binary")
+    pairs = _with_sides(pairs, classes, "sketch").mapInArrow(releasing(_estimated), "one binary, two binary")
     pairs = settle(pairs, "near-pairs")
     sets = _sets(pairs.select(F.explode(F.array("one", "two")).alias("class")), docs, classes, "centres")
-    links = settle(_with_sides(pairs, sets, "hashes").mapInArrow(_verified, "one binary, two binary"), "near-links")
+    links = settle(_with_sides(pairs, sets, "hashes").mapInArrow(releasing(_verified), "one binary, two binary"), "near-links")
     joined = components(links)
 
     # lists that are still of several components
@@ -284,9 +284,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketches = classes.select("class", F.col("sketch").alias("values")).join(prefixes, "class")
     fields = "value bigint, ask_block int, member_block int, asks boolean, class binary, component binary"
     needed = _in_blocks(asking.unionByName(members).join(sketches, "class"))
-    needed = settle(needed.mapInArrow(_by_block(_needed, _NEEDED, _sketch_values), fields), "near-needed")
+    needed = settle(needed.mapInArrow(releasing(_by_block(_needed, _NEEDED, _sketch_values)), fields), "near-needed")
     full = _sets(needed, docs, classes, "blocks").withColumnRenamed("hashes", "values").join(prefixes, "class")
-    more = _in_blocks(needed.join(full, "class")).mapInArrow(_by_block(_linked, _LINKS, _set_values), "one binary, two binary")
+    more = _in_blocks(needed.join(full, "class")).mapInArrow(releasing(_by_block(_linked, _LINKS, _set_values)), "one binary, two binary")
     more = settle(more, "near-more")
     if not more.isEmpty():
         joined = components(joined.select(F.col("node").alias("one"), F.col("component").alias("two")).union(more))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 #: Bytes up to which a side is broadcast.
 BROADCAST_BYTES = 8 << 20
 #: Bytes of rows that reach a Python worker at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -29,6 +32,26 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
 
+def release_memory() -> None:
+    """Give back to the system what this Python process has freed, as far as its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """The function over batches, whose worker keeps no freed memory once it is through: idle workers count beside those that work."""
+
+    def through(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return through
+
+
 class Shipped:
     """A bounded object for all executors, pickled with its code, so that workers need no copy of this package."""
 

@@ -42,3 +42,20 @@ def test_stages_on_odd_rows_and_nothing(docs, odd_rows, spark):
 def test_every_operator_has_its_query():
     assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_workers_and_stores_keep_no_memory(monkeypatch):
+    from temperament.llm import exact_duplicates, scratch
+
+    ends = []
+    monkeypatch.setattr(scratch, "release_memory", lambda: ends.append(1))
+    double = scratch.releasing(lambda batches: (2 * b for b in batches))
+    assert list(double([1, 2, 3])) == [2, 4, 6] and len(ends) == 1
+    stopped = double([1, 2])
+    assert next(stopped) == 2 and len(ends) == 1
+    stopped.close()
+    assert len(ends) == 2
+    monkeypatch.undo()
+    scratch.release_memory()
+    assert exact_duplicates.STORE["spark.sql.streaming.stateStore.unloadOnCommit"] == "true"
+    assert scratch.BATCH_BYTES <= 2 << 20
