@@ -11,7 +11,7 @@ from temperament.llm.arrays import grouped_pieces, span_hashes, worker_memo
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Words remembered per worker before the memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 # fixed values: the endings that the pre-tokenizer keeps with their apostrophe
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -68,35 +68,68 @@ def token_starts(codes: np.ndarray, piece_starts: np.ndarray) -> np.ndarray:
 
 
 class WordMemory:
-    """Ids of words by the hash of their characters; emptied when full, so its size is bounded."""
+    """Ids of words by the hash of their characters; emptied when full, so its size is bounded.
+
+    The hashes stand in a table at most half full, a word at the first free place from its own one on.
+    """
 
     def __init__(self):
         self.clear()
 
     def clear(self):
-        self.number: dict[int, int] = {}
-        self.sizes = np.zeros(1024, np.int64)
-        self.begins = np.zeros(1024, np.int64)
+        self.table = np.zeros(1 << 16, np.uint64)  # 0 is a free place
+        self.number = np.zeros(1 << 16, np.int32)
+        self.count = 0
+        self.begins = np.zeros(1024, np.int64)  # of the words and, last, of the next one
         self.flat = np.zeros(4096, np.int32)
-        self.used = 0
 
-    def add(self, hashes: list[int], flat: np.ndarray, sizes: np.ndarray) -> None:
-        first, count = len(self.number), len(hashes)
-        while first + count > len(self.sizes):
-            self.sizes, self.begins = np.resize(self.sizes, 2 * len(self.sizes)), np.resize(self.begins, 2 * len(self.begins))
-        while self.used + len(flat) > len(self.flat):
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash stands or would stand, and whether it does."""
+        last = len(self.table) - 1
+        at = (hashes & np.uint64(last)).astype(np.int64)
+        there = self.table[at]
+        open_ = np.flatnonzero((there != hashes) & (there != 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & last
+            there[open_] = self.table[at[open_]]
+            open_ = open_[(there[open_] != hashes[open_]) & (there[open_] != 0)]
+        return at, there == hashes
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of the words, -1 for those not remembered. No hash is 0."""
+        at, known = self._places(hashes)
+        return np.where(known, self.number[at], -1)
+
+    def add(self, hashes: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember words by distinct new hashes, numbered as they come."""
+        first, count = self.count, len(hashes)
+        while first + count >= len(self.begins):
+            self.begins = np.resize(self.begins, 2 * len(self.begins))
+        used = int(self.begins[first])
+        while used + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.sizes[first : first + count] = sizes
-        self.begins[first : first + count] = self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.number.update(zip(hashes, range(first, first + count)))
+        self.begins[first + 1 : first + count + 1] = used + np.cumsum(sizes)
+        self.flat[used : used + len(flat)] = flat
+        self.count += count
+        numbers = np.arange(first, self.count, dtype=np.int32)
+        if 2 * self.count > len(self.table):
+            taken = self.table != 0
+            hashes, numbers = np.append(self.table[taken], hashes), np.append(self.number[taken], numbers)
+            size = 1 << (2 * self.count - 1).bit_length()
+            self.table, self.number = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+        while len(hashes):  # of those that want one free place, one gets it
+            at, _ = self._places(hashes)
+            self.table[at] = hashes
+            got = self.table[at] == hashes
+            self.number[at[got]] = numbers[got]
+            hashes, numbers = hashes[~got], numbers[~got]
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words one after the other, and how many each has."""
-        sizes = self.sizes[numbers]
+        begins = self.begins[numbers]
+        sizes = self.begins[numbers + 1] - begins
         before = np.cumsum(sizes) - sizes
-        return self.flat[np.repeat(self.begins[numbers] - before, sizes) + np.arange(sizes.sum())], sizes
+        return self.flat[np.repeat(begins - before, sizes) + np.arange(sizes.sum())], sizes
 
 
 def word_memory(name: bytes) -> WordMemory:
@@ -123,15 +156,19 @@ def encode_texts(texts: list[str], encode_words, memory: WordMemory, special: di
         piece_starts = np.cumsum(sizes) - sizes
         starts = token_starts(codes, piece_starts)
         ends = np.append(starts[1:], len(codes))
-        hashes, where, inverse = np.unique(span_hashes(codes, starts, ends), return_index=True, return_inverse=True)
-        if len(memory.number) + len(hashes) > REMEMBERED:
-            memory.clear()
-        keys = hashes.tolist()
-        new = [at for at, key in enumerate(keys) if key not in memory.number]
-        if new:
-            words = [joined[starts[where[at]] : ends[where[at]]] for at in new]
-            memory.add([keys[at] for at in new], *encode_words(words))
-        numbers = np.fromiter((memory.number[key] for key in keys), np.int64, len(keys))[inverse]
+        hashes = np.maximum(span_hashes(codes, starts, ends), np.uint64(1))
+        numbers = memory.numbers(hashes)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new, where = np.unique(hashes[missing], return_index=True)
+            if memory.count + len(new) > REMEMBERED:
+                memory.clear()
+                missing = np.arange(len(hashes))
+                new, where = np.unique(hashes, return_index=True)
+            where = missing[where]
+            words = [joined[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+            memory.add(new, *encode_words(words))
+            numbers[missing] = memory.numbers(hashes[missing])
         ids, counts = memory.ids(numbers)
         stops = np.cumsum(counts)[np.append(np.searchsorted(starts, piece_starts[1:]), len(starts)) - 1]
         for (index, _), part in zip(held, np.split(ids, stops[:-1])):

@@ -9,6 +9,7 @@ so that they are read without any token.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from itertools import chain
 
@@ -16,10 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from temperament.llm.arrays import worker_memo
-from temperament.llm.scratch import by_size
+from temperament.llm.bpe import byte_symbols
+from temperament.llm.scratch import by_size, small_batches
 from temperament.llm.subwords import encode_texts, word_memory
 
 END_ID = 0
@@ -32,6 +34,8 @@ LAYOUT = {
     "parquet.page.row.count.limit": "2000",
     "compression": "zstd",
 }
+#: Words of letters whose characters all libraries class alike, with the space before them.
+PLAIN = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def _encoder(text: str, name: bytes):
@@ -45,6 +49,11 @@ def _encoder(text: str, name: bytes):
         tokenizer.no_padding()
         worker_memo()[key] = tokenizer
     apart = tokenizer.encode("\n", add_special_tokens=False).ids
+    # the same model for words whose bytes already are the symbols of the vocabulary, set apart by that of the line end
+    symbols = dict(enumerate(byte_symbols()))
+    by_lines = Tokenizer(tokenizer.model)
+    by_lines.pre_tokenizer = pre_tokenizers.Split(symbols[ord("\n")], "isolated")
+    cut_alike = tokenizer.normalizer is None and isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
 
     def one_by_one(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -53,8 +62,9 @@ def _encoder(text: str, name: bytes):
 
     def as_lines(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters as lines of one text: the library splits at the line ends, whose token is in no word."""
-        if len(apart) == 1 and words:
-            [lines] = tokenizer.encode_batch_fast(["\n" + "\n".join(words) + "\n"], add_special_tokens=False)
+        if cut_alike and len(apart) == 1 and words:
+            text = ("\n" + "\n".join(words) + "\n").encode().decode("latin1").translate(symbols)
+            [lines] = by_lines.encode_batch_fast([text], add_special_tokens=False)
             ids = np.array(lines.ids, np.int32)
             ends = np.flatnonzero(ids == apart[0])
             sizes = np.diff(ends) - 1
@@ -63,7 +73,7 @@ def _encoder(text: str, name: bytes):
         return one_by_one(words)
 
     def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.fromiter((w[w[0] == " " :].isalpha() and max(w) < "\u0250" for w in words), bool, len(words))
+        plain = np.fromiter((PLAIN.fullmatch(w) is not None for w in words), bool, len(words))
         places = np.append(np.flatnonzero(plain), np.flatnonzero(~plain))
         flats, sizes = zip(as_lines([words[i] for i in np.flatnonzero(plain)]), one_by_one([words[i] for i in np.flatnonzero(~plain)]))
         flat, found = np.concatenate(flats), np.concatenate(sizes)
@@ -87,6 +97,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     """
     import hashlib
 
+    small_batches(docs.sparkSession)
     with open(vocabulary, encoding="utf-8") as file:  # the vocabulary is read by the driver alone
         text = file.read()
     name = hashlib.sha256(b"library" + text.encode()).digest()

@@ -40,6 +40,52 @@ def test_merges_equal_the_library(library, monkeypatch):
     assert [tables.decode(np.array(x)) for x in want] == [library.decode(x, skip_special_tokens=False) for x in want]
 
 
+def test_memory_of_many_words():
+    # words of equal low bits, and more than the first table holds
+    draw = np.random.default_rng(1)
+    hashes = draw.permutation(np.unique(np.append(draw.integers(1, 1 << 63, 90_000), np.arange(1, 40) << 40)).astype(np.uint64))
+    sizes = draw.integers(0, 5, len(hashes))
+    ids = [draw.integers(0, 9, n).astype(np.int32) for n in sizes]
+    memory, want = subwords.WordMemory(), {}
+    for part in np.array_split(np.arange(len(hashes)), 7):
+        assert (memory.numbers(hashes[part]) == -1).all()
+        memory.add(hashes[part], np.concatenate([ids[i] for i in part]), sizes[part])
+        want.update((int(hashes[i]), ids[i].tolist()) for i in part)
+    asked = draw.integers(0, len(hashes), 5000)
+    flat, counts = memory.ids(memory.numbers(hashes[asked]))
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [want[int(h)] for h in hashes[asked]]
+
+    # half a million words are given to the tokenizer once each
+    given = []
+
+    def encode_words(words):
+        given.extend(words)
+        return np.arange(len(words), dtype=np.int32), np.ones(len(words), np.int64)
+
+    memory, texts = subwords.WordMemory(), [" ".join(f"w{'abcdefghij'[i % 10]}{chr(0x4E00 + i // 1000)}{chr(0x4E00 + i % 1000)}" for i in range(500_000))]
+    [first], [again] = (subwords.encode_texts(texts, encode_words, memory, {}) for _ in range(2))
+    assert len(given) == len(set(given)) == 500_000 and first.tolist() == again.tolist()
+
+
+def test_memory_that_overflows(library, monkeypatch):
+    monkeypatch.setattr(subwords, "REMEMBERED", 50)
+    monkeypatch.setattr(subwords.grouped_pieces, "__defaults__", (40,))
+    draw = random.Random(2)
+    texts = [" ".join("".join(draw.choice("abé") for _ in range(draw.randrange(1, 6))) for _ in range(draw.randrange(40))) for _ in range(200)]
+    tables, memory = bpe.MergeTables(open(PATH, encoding="utf-8").read()), subwords.WordMemory()
+    got = subwords.encode_texts([*texts, "ab" * 500 + "1b2!" * 500], tables.merge_words, memory, {})
+    assert [x.tolist() for x in got] == [e.ids for e in library.encode_batch([*texts, "ab" * 500 + "1b2!" * 500], add_special_tokens=False)]
+    assert memory.count <= 50
+
+
+def test_lines_of_words_equal_the_library(library):
+    texts = [" ".join(w) for w in (["Straße", "naïve", "ǅungla", "ſhip", "ȿ", "ɐb", "ªº", "µm", "Ċ", "aĊb", "Ġx", "×", "÷"], ["Ċ" * 3, "Ġ" * 2])]
+    texts += ["\n\nĊ\nĠ \n", "aĊ\nĊb  Ċ", "".join(map(chr, range(0x250))), " ".join(map(chr, range(0x21, 0x250)))]
+    encode_words, special = token_files._encoder(library.to_str(), b"lines")
+    got = subwords.encode_texts(texts, encode_words, subwords.WordMemory(), special)
+    assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_decode_of_broken_bytes():
     tables = bpe.MergeTables(open(PATH, encoding="utf-8").read())
     half = int(tables.byte_id[0xC3])
