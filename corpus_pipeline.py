@@ -13,13 +13,14 @@ from temperament.llm import bpe, language
 from temperament.llm.exact_duplicates import exact_duplicates
 from temperament.llm.mixing import mixed_rows
 from temperament.llm.near_duplicates import near_duplicates
-from temperament.llm.scratch import by_size
+from temperament.llm.scratch import by_size, in_pieces
 from temperament.session import settle
 
 
 def _kept(docs: DataFrame, kept: DataFrame, name: str) -> DataFrame:
     """The rows of `docs` whose doc_id is among `kept` (doc_id)."""
-    kept = by_size(settle(kept.select("doc_id").distinct(), name), 16)
+    kept = in_pieces(kept.select("doc_id").distinct(), docs.count(), 16)
+    kept = by_size(settle(kept, name), 16)
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 

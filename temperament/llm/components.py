@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from temperament.llm.scratch import in_pieces
 from temperament.session import settle
 
 
@@ -36,13 +37,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     alone = links.where(F.col("one") == F.col("two")).select(F.col("one").alias("node"))
     edges = links.where(F.col("one") != F.col("two")).select("one", "two").distinct()
-    before = None
+    before, rows = None, links.count()
     while True:
-        edges = settle(_hooked(_hooked(edges, True), False), "components")
+        edges = settle(in_pieces(_hooked(_hooked(edges, True), False), 2 * rows, 64), "components")
         state = tuple(edges.select(F.count("*"), F.bit_xor(F.xxhash64("one", "two"))).first())
         if state == before:
             break
-        before = state
+        before, rows = state, state[0]
     roots = edges.select(F.col("two").alias("node")).union(alone).distinct()
     roots = roots.join(edges.select(F.col("one").alias("node")), "node", "left_anti")
     return edges.select(F.col("one").alias("node"), F.col("two").alias("component")).union(

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from temperament.llm.scratch import by_size
+from temperament.llm.scratch import by_size, in_pieces
 from temperament.session import scratch_path, settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,7 +25,7 @@ STORE = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # all stores of an executor share one bound on their buffers and caches; the rest is on disk
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     # stores are closed when their task ends; otherwise executors keep them open, outside the heap, long after the stream
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
@@ -108,7 +108,8 @@ def exact_duplicates(docs: DataFrame, digest=lambda text: F.unhex(F.sha2(text, 2
     )
 
     # full texts of the hits: a digest with several texts is split by text
-    hit_ids = settle(arrivals.join(hits, "digest", "left_semi").select("doc_id").distinct(), "exact-hit-ids")
+    hit_ids = arrivals.join(hits, "digest", "left_semi").select("doc_id").distinct()
+    hit_ids = settle(in_pieces(hit_ids, arrivals.count(), 16), "exact-hit-ids")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ascii_lower(F.col("text")).alias("text"))
     texts = texts.join(by_size(hit_ids, 16), texts["doc_id"].eqNullSafe(hit_ids["doc_id"]), "left_semi")
     texts = texts.withColumn("digest", digest(F.col("text"))).join(hits.select("digest"), "digest", "left_semi")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from temperament.llm.arrays import set_digest, shingle_set, word_hashes
 from temperament.llm.components import components
-from temperament.llm.scratch import by_size, releasing, small_batches
+from temperament.llm.scratch import by_size, in_pieces, releasing, small_batches
 from temperament.session import settle
 
 SKETCH = 64
@@ -208,10 +208,14 @@ def _with_sides(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
 
 def _sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame, step: str) -> DataFrame:
     """(class, hashes): the full sets of the wanted classes, made from their whole texts again."""
-    ids = settle(classes.join(wanted.select("class").distinct(), "class", "left_semi").select("doc_id"), f"near-{step}-ids")
+    ids = classes.join(wanted.select("class").distinct(), "class", "left_semi").select("doc_id", "n_shingles")
+    ids = settle(in_pieces(ids, classes.count(), 24), f"near-{step}-ids")
+    made, shingles = ids.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    ids = ids.select("doc_id")
     texts = docs.join(by_size(ids, 16), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     sets = texts.select("text").mapInArrow(releasing(_full_sets), "class binary, hashes binary")
-    return settle(sets.where("class is not null").dropDuplicates(["class"]), f"near-{step}-sets")
+    sets = sets.where("class is not null").dropDuplicates(["class"])
+    return settle(in_pieces(sets, 1, 32 * made + 8 * shingles), f"near-{step}-sets")
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
@@ -232,7 +236,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = marks.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles")
     )
-    classes = settle(classes, "near-classes")
+    classes = settle(in_pieces(classes, marks.count(), 8 * SKETCH + 64), "near-classes")
 
     values = classes.select("class", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("holders")).where("holders > 1")
@@ -244,16 +248,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     prefix = F.col("size") - F.ceil(F.col("size") * LEAST) + 1
     lists = held.where(F.col("place") + F.col("size") - F.col("all") <= prefix).select("value", "class")
-    lists = settle(lists, "near-lists")
+    lists = settle(in_pieces(lists, classes.count(), 24 * SKETCH), "near-lists")
 
     centre = F.min(F.struct(F.xxhash64("class", F.pmod("value", F.lit(CENTRES))), "class"))["class"]
     centres = lists.groupBy("value").agg(centre.alias("centre"), F.count("*").alias("members")).where("members > 1")
     pairs = lists.join(centres, "value").where(F.col("class") != F.col("centre"))
     pairs = pairs.select(F.least("class", "centre").alias("one"), F.greatest("class", "centre").alias("two")).distinct()
     pairs = _with_sides(pairs, classes, "sketch").mapInArrow(releasing(_estimated), "one binary, two binary")
-    pairs = settle(pairs, "near-pairs")
+    pairs = settle(in_pieces(pairs, lists.count(), 2 * (8 * SKETCH + 32)), "near-pairs")
     sets = _sets(pairs.select(F.explode(F.array("one", "two")).alias("class")), docs, classes, "centres")
-    links = settle(_with_sides(pairs, sets, "hashes").mapInArrow(releasing(_verified), "one binary, two binary"), "near-links")
+    width = sets.agg(F.coalesce(F.avg(F.octet_length("hashes")), F.lit(0.0))).first()[0]
+    links = _with_sides(pairs, sets, "hashes").mapInArrow(releasing(_verified), "one binary, two binary")
+    links = settle(in_pieces(links, pairs.count(), 2 * (int(width) + 32)), "near-links")
     joined = components(links)
 
     # lists that are still of several components

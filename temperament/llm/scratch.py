@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 8 << 20
 #: Bytes of rows that reach a Python worker at once.
 BATCH_BYTES = 2 << 20
+#: Bytes of rows, about, for which a narrow table gets another task and file.
+PIECE_BYTES = 4 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -23,6 +25,15 @@ def by_size(written: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(written) if written.count() * row_bytes <= BROADCAST_BYTES else written
 
 
+def in_pieces(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """The frame in as few tasks as so many rows of about `row_bytes` need, one per core at least; no row is moved for it.
+
+    For tables to be written whose rows can be counted beforehand, or bounded. Every file costs its executor a process
+    or more for its rights (Hadoop without its native library), and every task sets up its sorters and writers anew.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows * row_bytes // PIECE_BYTES)))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let Arrow batches end at `BATCH_BYTES`, so that long texts and sets do not add up to the record limit.
 

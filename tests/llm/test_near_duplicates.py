@@ -73,3 +73,31 @@ def test_components_of_chains_and_loops(spark):
     links = [(b"%03d" % i, b"%03d" % (i + 1)) for i in range(40)] + [(b"900", b"901"), (b"950", b"950")]
     got = dict(tuple(map(bytes, r)) for r in components(spark.createDataFrame(links, "one binary, two binary")).collect())
     assert got == {b"%03d" % i: b"000" for i in range(41)} | {b"900": b"900", b"901": b"900", b"950": b"950"}
+
+
+def test_narrow_tables_are_written_in_few_files(spark, monkeypatch):
+    """Many shuffle partitions must not mean many files: an executor starts processes for the rights of each."""
+    from pathlib import Path
+
+    from temperament import session
+
+    draw = random.Random(5)
+    rows = [(i, " ".join(str(draw.random()) for _ in range(30))) for i in range(200)]
+    rows += [(1000 + i, "one passage that all of these share " * 2 + "a b c d e f g h i j k l m n o p q r s t u v w x y z " + f"end {i}") for i in range(200)]
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    written = []
+    monkeypatch.setattr(session, "_WRITTEN", written)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert found(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    cores, seen = spark.sparkContext.defaultParallelism, set()
+    for path in map(Path, written):
+        kind = re.sub(r"-[0-9a-f]{32}$", "", path.name)
+        if kind not in ("near-marks", "near-needed", "near-more"):  # as many as there are inputs, and blocks
+            assert len(list(path.glob("part-*"))) <= cores, kind
+            seen.add(kind)
+    assert {"near-classes", "near-lists", "near-pairs", "near-links", "near-centres-ids", "near-centres-sets", "components"} <= seen
