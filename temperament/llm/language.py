@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from temperament.llm.arrays import grouped_pieces
+from temperament.llm.arrays import PIECE, grouped_pieces
 from temperament.llm.scratch import Shipped, release_memory, releasing, small_batches
 
 UNKNOWN = "und"
@@ -24,6 +24,8 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 #: Labelled texts that are learned from, about; the bound on what the driver holds.
 SAMPLE = 4000
+#: Characters whose letter runs are looked up at once; about a hundred bytes of a worker's memory for each.
+RUN_PIECE = PIECE // 4
 #: Share of rightly recognised texts that rejection may cost.
 LOST = 0.0005
 
@@ -49,7 +51,7 @@ def _runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _held(texts: list[str]):
     """Pieces of the texts as bytes in one array, with the text of each and where it begins."""
-    for held in grouped_pieces(texts):
+    for held in grouped_pieces(texts, RUN_PIECE):
         parts = [piece.lower().encode("utf-8") for _, piece in held]
         raw = np.frombuffer(b"\n" + b"\n".join(parts) + b"\n\n", np.uint8)
         yield raw, np.array([i for i, _ in held]), np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])

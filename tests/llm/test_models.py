@@ -149,3 +149,17 @@ def test_samples_survive_null_and_repeated_ids(spark, docs, monkeypatch):
     good = taken["quality"] == 1
     assert 100 < good.sum() < 300 and (~good).sum() <= 1
     assert 2000 < taken["weights"][good].sum() < 6000
+
+
+def test_letter_runs_are_looked_up_in_small_pieces():
+    import tracemalloc
+
+    texts = [" ".join(f"word{i * j % 997}" for j in range(2000)) for i in range(60)]
+    embeddings = np.ones((language.BUCKETS, language.DIMENSIONS), np.float32)
+    tracemalloc.start()
+    try:
+        means = language.averages(texts, embeddings)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.allclose(means, 1) and peak < 24e6
