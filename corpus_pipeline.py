@@ -6,6 +6,9 @@ of `docs`. `run` writes what a stage returns to the shared folder and reads it b
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +16,21 @@ from temperament.llm import bpe, language
 from temperament.llm.exact_duplicates import exact_duplicates
 from temperament.llm.mixing import mixed_rows
 from temperament.llm.near_duplicates import near_duplicates
-from temperament.llm.scratch import by_size, in_pieces
+from temperament.llm.scratch import by_size, in_pieces, release_driver_memory
 from temperament.session import settle
 
 
+def _afresh(stage: Callable) -> Callable:
+    """The stage, begun after the driver has given back what the stages before it have freed."""
+
+    @wraps(stage)
+    def begun(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        release_driver_memory(spark)
+        return stage(spark, docs, folder)
+
+    return begun
+
+
 def _kept(docs: DataFrame, kept: DataFrame, name: str) -> DataFrame:
     """The rows of `docs` whose doc_id is among `kept` (doc_id)."""
     kept = in_pieces(kept.select("doc_id").distinct(), docs.count(), 16)
@@ -24,6 +38,7 @@ def _kept(docs: DataFrame, kept: DataFrame, name: str) -> DataFrame:
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
+@_afresh
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose language is recognised; the model learns from all labelled documents, within its bound."""
     model = language.train(docs, F.lit(True))
@@ -33,21 +48,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     return found.select(*[F.col(f"`{name}`") for name in plain]).toDF(*docs.columns)
 
 
+@_afresh
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of every group of equal texts, the one with the largest doc_id."""
     return _kept(docs, exact_duplicates(docs).where("kept"), "pipeline-exact")
 
 
+@_afresh
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of every group of similar texts, the one with the smallest doc_id."""
     return _kept(docs, near_duplicates(docs).where("kept"), "pipeline-near")
 
 
+@_afresh
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents as often as the mix of sources takes them."""
     return mixed_rows(docs)
 
 
+@_afresh
 def encode_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The rows with the tokens of their text in its place: n_tokens, ids, and whether these decode to the text again."""
     import public_tokenizers

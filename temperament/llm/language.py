@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from temperament.llm.arrays import PIECE, grouped_pieces
-from temperament.llm.scratch import Shipped, release_memory, releasing, small_batches
+from temperament.llm.scratch import Shipped, in_pieces, release_memory, releasing, small_batches
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -177,7 +177,9 @@ def train(docs: DataFrame, usable: Column, sample: int = SAMPLE) -> LanguageMode
                 names=["lang", "buckets", "counts"],
             )
 
-    got = drawn.mapInArrow(releasing(run), "lang string, buckets binary, counts binary").collect()
+    # piece by piece, so that the driver's JVM does not hold the sample beside its Python process
+    drawn = in_pieces(drawn, sample, 8 << 10)
+    got = list(drawn.mapInArrow(releasing(run), "lang string, buckets binary, counts binary").toLocalIterator())
     got.sort(key=lambda r: (r["lang"], bytes(r["buckets"]), bytes(r["counts"])))
     features = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in got]
     model = fit_model(features, [r["lang"] for r in got])

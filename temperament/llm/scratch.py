@@ -7,6 +7,7 @@ import pickle
 from collections.abc import Callable
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,25 @@ def release_memory() -> None:
         trim(0)
 
 
+def release_driver_memory(spark: SparkSession) -> None:
+    """Give back to the system what the driver has freed, in its Python process and outside the heap of its JVM.
+
+    The C library keeps what is freed in an arena per thread, and planning, compiling and broadcasting use hundreds of threads.
+    The JVM is asked through the commands it offers inside its own process; one without this command (before 17.0.9) keeps its arenas.
+    """
+    release_memory()
+    jvm = spark._jvm
+    offered = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    known = jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods()
+    call = next(m for m in known if m.getName() == "invoke")  # py4j finds no methods of the class behind this interface
+    values = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)  # without arguments of its own
+    values[0], values[1] = offered, "systemTrimNativeHeap"
+    try:
+        call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), values)
+    except Py4JJavaError:
+        pass
+
+
 def releasing(run: Callable) -> Callable:
     """The function over batches, whose worker keeps no freed memory once it is through: idle workers count beside those that work."""
 

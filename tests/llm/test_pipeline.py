@@ -59,3 +59,63 @@ def test_workers_and_stores_keep_no_memory(monkeypatch):
     scratch.release_memory()
     assert exact_duplicates.STORE["spark.sql.streaming.stateStore.unloadOnCommit"] == "true"
     assert scratch.BATCH_BYTES <= 2 << 20
+
+
+def _resident(pid):
+    """MB of a process that lie in memory."""
+    with open(f"/proc/{pid}/status") as status:
+        return next(int(line.split()[1]) for line in status if line.startswith("VmRSS")) / 1024
+
+
+def _freed_in_jvm(jvm):
+    """Some 260 MB that the JVM has freed outside its heap, below a piece that is still held and returned."""
+    taken = [jvm.java.util.zip.Deflater() for _ in range(1001)]
+    for deflater in taken[:-1]:
+        deflater.end()
+    return taken[-1]
+
+
+def test_driver_gives_back_what_it_has_freed(spark):
+    from temperament.llm import scratch
+
+    pid = spark._jvm.java.lang.ProcessHandle.current().pid()
+    held = _freed_in_jvm(spark._jvm)
+    before = _resident(pid)
+    scratch.release_driver_memory(spark)
+    assert _resident(pid) < before - 100
+    held.end()
+
+
+def test_every_stage_begins_with_memory_given_back(spark, monkeypatch):
+    begun = []
+    monkeypatch.setattr(corpus_pipeline, "release_driver_memory", begun.append)
+    for _, stage in corpus_pipeline.STAGES:
+        with pytest.raises(AttributeError):
+            stage(spark, None, FOLDER)  # there is no frame to work on
+    assert begun == [spark] * len(corpus_pipeline.STAGES)
+
+
+def test_driver_takes_the_sample_of_languages_piece_by_piece(docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from temperament.llm import language
+
+    rows = [(i, f"{word} {i} {word} again", lang, "a") for i in range(60) for word, lang in (("house", "en"), ("haus", "de"))]
+    whole, pieces = [], []
+    collect, iterate = type(docs([])).collect, type(docs([])).toLocalIterator
+
+    def collected(self):
+        whole.append(self.columns)
+        return collect(self)
+
+    def iterated(self, *args, **settings):
+        pieces.append((self.columns, self.rdd.getNumPartitions()))
+        return iterate(self, *args, **settings)
+
+    frame = docs(rows).repartition(40)
+    monkeypatch.setattr(type(frame), "collect", collected)
+    monkeypatch.setattr(type(frame), "toLocalIterator", iterated)
+    model = language.train(frame, F.lit(True))
+    assert model.languages == ["de", "en"]
+    assert not any("buckets" in columns for columns in whole)
+    assert [columns for columns, _ in pieces] == [["lang", "buckets", "counts"]] and pieces[0][1] <= 8
